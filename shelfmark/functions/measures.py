@@ -2,41 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+MONEY_TOTAL = "DECIMAL(38,2)"
 
-MONEY_TOTAL = "decimal(38,2)"
 
-
-def signed_amount(qty: Column, amount: Column) -> Column:
+def signed_amount(qty: str = "sales_qty", amount: str = "order_amt") -> str:
     """Sales count up, returns (negative quantity) count down, zero or unknown quantity is 0.
 
     Its sum is net sales: amounts sold minus absolute amounts returned.
     """
-    return F.when(qty > 0, amount).when(qty < 0, -F.abs(amount)).otherwise(F.lit(0))
-
-
-def net_sales(qty: Column, amount: Column) -> Column:
-    return F.sum(signed_amount(qty, amount)).cast(MONEY_TOTAL)
+    return f"CASE WHEN {qty} > 0 THEN {amount} WHEN {qty} < 0 THEN -abs({amount}) ELSE 0 END"
 
 
-def nullif_zero(value: Column) -> Column:
-    return F.when(value != 0, value)
+def net_sales(qty: str = "sales_qty", amount: str = "order_amt") -> str:
+    return f"CAST(sum({signed_amount(qty, amount)}) AS {MONEY_TOTAL})"
 
 
-def safe_ratio(numerator: Column, denominator: Column) -> Column:
+def safe_ratio(numerator: str, denominator: str) -> str:
     """Double division; NULL when the divisor is zero or NULL."""
-    return numerator.cast("double") / nullif_zero(denominator.cast("double"))
+    return f"(CAST({numerator} AS DOUBLE) / nullif(CAST({denominator} AS DOUBLE), 0))"
 
 
-def growth(current: Column, base: Column) -> Column:
-    return safe_ratio(current, base) - F.lit(1.0)
+def growth(current: str, base: str) -> str:
+    return f"({safe_ratio(current, base)} - 1.0D)"
 
 
-def share_change(current: Column, base: Column) -> Column:
-    return current - base
+def share_change(current: str, base: str) -> str:
+    return f"({current} - {base})"
 
 
-def whole_ratio(numerator: Column, denominator: Column) -> Column:
+def whole_ratio(numerator: str, denominator: str) -> str:
     """Integer division of two counts, NULL on a zero divisor."""
-    return F.call_function("div", numerator.cast("bigint"), nullif_zero(denominator.cast("bigint")))
+    return f"({numerator} div nullif({denominator}, 0))"

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from shelfmark.functions.windows import date_literal
 
 NOVELTY, EXISTING = "novelty", "existing"
 
 # Age-mark patterns. Marks read "1 1/2", "6+", "9-12"; a whole number with a
 # fraction is recognised first, otherwise the leading digits count.
-FRACTION_MARK = r"^[0-9]+ [0-9]+/[0-9]+"
-LEADING_NUMBER = r"^[0-9]+"
+FRACTION_MARK = "^([0-9]+) ([0-9]+)/([0-9]+)"
+LEADING_NUMBER = "^[0-9]+"
 
 # Fixed values: (label, lowest, highest) in years.
 AGE_BANDS = (
@@ -39,121 +39,110 @@ CITY_TIER_UNKNOWN = "unspecified"
 CITY_MATURITY_UNKNOWN = "4_unspecified"
 
 
-def canonical_member_id(type_name: Column, type_value: Column, bridge_id: Column, known) -> Column:
+def text_list(values: Sequence[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def canonical_member_id(type_name: str, type_value: str, bridge_id: str, known: Sequence[str]) -> str:
     """The member's own id, else the channel's id for it; NULL for unknown identity types."""
-    return F.when(
-        type_name.isin(*known),
-        F.coalesce(bridge_id.cast("string"), type_value.cast("string")),
+    return (
+        f"CASE WHEN {type_name} IN ({text_list(known)}) "
+        f"THEN coalesce(CAST({bridge_id} AS STRING), CAST({type_value} AS STRING)) END"
     )
 
 
-def is_rated(age_mark: Column) -> Column:
-    return F.trim(age_mark).rlike(LEADING_NUMBER)
+def is_rated(age_mark: str) -> str:
+    return f"trim({age_mark}) RLIKE '{LEADING_NUMBER}'"
 
 
-def min_age(age_mark: Column) -> Column:
+def min_age(age_mark: str) -> str:
     """Youngest age in whole years. The fraction is divided as integers, so "1 1/2" is 1;
     a mark that holds no number gives 0."""
-    mark = F.trim(age_mark)
-    pattern = r"^([0-9]+) ([0-9]+)/([0-9]+)"
-    whole, top, bottom = (
-        F.regexp_extract(mark, pattern, i).try_cast("int") for i in (1, 2, 3)
-    )
-    divisor = F.when(bottom != 0, bottom)
-    fraction = F.call_function("div", top, divisor).cast("int")
-    leading = F.regexp_extract(mark, LEADING_NUMBER, 0).try_cast("int")
-    return F.coalesce(
-        F.when(mark.rlike(FRACTION_MARK), whole + fraction).otherwise(leading),
-        F.lit(0),
+    mark = f"trim({age_mark})"
+
+    def part(i: int) -> str:
+        return f"try_cast(regexp_extract({mark}, '{FRACTION_MARK}', {i}) AS INT)"
+
+    return (
+        f"CAST(coalesce(CASE WHEN {mark} RLIKE '{FRACTION_MARK}' "
+        f"THEN {part(1)} + {part(2)} div nullif({part(3)}, 0) "
+        f"ELSE try_cast(regexp_extract({mark}, '{LEADING_NUMBER}', 0) AS INT) END, 0) AS INT)"
     )
 
 
-def _band(value: Column, bands) -> Column:
-    rule = F
+def band(value: str, bands) -> str:
+    """CASE over inclusive ranges; NULL and uncovered values give NULL."""
+    rules = []
     for label, low, high in bands:
-        inside = F.lit(True)
-        if low is not None:
-            inside = inside & (value >= low)
-        if high is not None:
-            inside = inside & (value <= high)
-        rule = rule.when(inside, F.lit(label))
-    return rule
+        tests = [f"{value} >= {low}"] if low is not None else []
+        tests += [f"{value} <= {high}"] if high is not None else []
+        rules.append(f"WHEN {' AND '.join(tests)} THEN '{label}'")
+    return f"CASE {' '.join(rules)} END"
 
 
-def age_band(years: Column) -> Column:
-    """Product age band; NULL stays NULL."""
-    return F.when(years.isNotNull(), _band(years, AGE_BANDS))
+def age_band(years: str) -> str:
+    return band(years, AGE_BANDS)
 
 
-def audience_segment(years: Column) -> Column:
+def audience_segment(years: str) -> str:
     """13-17, 18+ and everything else, products without a rating included."""
     return (
-        F.when((years >= 13) & (years <= 17), F.lit("adult_13_to_17"))
-        .when(years >= 18, F.lit("adult_18_plus"))
-        .otherwise(F.lit("kids"))
+        f"CASE WHEN {years} >= 13 AND {years} <= 17 THEN 'adult_13_to_17' "
+        f"WHEN {years} >= 18 THEN 'adult_18_plus' ELSE 'kids' END"
     )
 
 
-def price_band(price: Column, include_zero: bool = False, low: int = 300, high: int = 800) -> Column:
-    positive = price >= 0 if include_zero else price > 0
+def price_band(price: str, include_zero: bool = False, low: int = 300, high: int = 800) -> str:
+    positive = f"{price} >= 0" if include_zero else f"{price} > 0"
     return (
-        F.when(positive & (price < low), F.lit("LPP"))
-        .when((price >= low) & (price < high), F.lit("MPP"))
-        .when(price >= high, F.lit("HPP"))
+        f"CASE WHEN {positive} AND {price} < {low} THEN 'LPP' "
+        f"WHEN {price} >= {low} AND {price} < {high} THEN 'MPP' WHEN {price} >= {high} THEN 'HPP' END"
     )
 
 
-def novelty_since(launch: Column, cutoff: dt.date) -> Column:
-    return F.when(launch >= F.lit(cutoff), F.lit(NOVELTY)).otherwise(F.lit(EXISTING))
+def novelty_since(launch: str, cutoff: dt.date) -> str:
+    return f"CASE WHEN {launch} >= {date_literal(cutoff)} THEN '{NOVELTY}' ELSE '{EXISTING}' END"
 
 
-def novelty_in_year(launch: Column, year: int) -> Column:
-    first, after = dt.date(year, 1, 1), dt.date(year + 1, 1, 1)
-    return F.when((launch >= F.lit(first)) & (launch < F.lit(after)), F.lit(NOVELTY)).otherwise(
-        F.lit(EXISTING)
-    )
+def novelty_in_year(launch: str, year: int) -> str:
+    return f"CASE WHEN year({launch}) = {year} THEN '{NOVELTY}' ELSE '{EXISTING}' END"
 
 
-def fill_city_tier(tier: Column) -> Column:
-    return F.coalesce(tier, F.lit(CITY_TIER_UNKNOWN))
+def fill_city_tier(tier: str) -> str:
+    return f"coalesce({tier}, '{CITY_TIER_UNKNOWN}')"
 
 
-def fill_city_maturity(maturity: Column) -> Column:
-    return F.coalesce(maturity, F.lit(CITY_MATURITY_UNKNOWN))
+def fill_city_maturity(maturity: str) -> str:
+    return f"coalesce({maturity}, '{CITY_MATURITY_UNKNOWN}')"
 
 
-def gender_label(code: Column) -> Column:
-    rule = F
-    for value, label in GENDER_LABELS:
-        rule = rule.when(code == value, F.lit(label))
-    return rule
+def gender_label(code: str) -> str:
+    return f"CASE {' '.join(f'WHEN {code} = {v} THEN {label!r}' for v, label in GENDER_LABELS)} END"
 
 
-def member_age_band(birthday: Column, profile_year: int) -> Column:
-    years = F.lit(profile_year) - F.year(birthday)
-    return F.when(years.isNull(), F.lit(MEMBER_AGE_UNKNOWN)).otherwise(_band(years, MEMBER_AGE_BANDS))
+def member_age_band(birthday: str, profile_year: int) -> str:
+    years = f"({profile_year} - year({birthday}))"
+    return f"coalesce({band(years, MEMBER_AGE_BANDS)}, '{MEMBER_AGE_UNKNOWN}')"
 
 
-def gap_bucket(days: Column, width: int = 50, top: int = 1000) -> Column:
+def gap_bucket(days: str, width: int = 50, top: int = 1000) -> str:
     """``<50``, ``50-100``, ... ``950-1000``, ``1000+``."""
-    low = F.floor(days / width).cast("int") * width
+    low = f"({days} div {width}) * {width}"
     return (
-        F.when(days < width, F.lit(f"<{width}"))
-        .when(days >= top, F.lit(f"{top}+"))
-        .otherwise(F.concat_ws("-", low.cast("string"), (low + width).cast("string")))
+        f"CASE WHEN {days} < {width} THEN '<{width}' WHEN {days} >= {top} THEN '{top}+' "
+        f"ELSE concat({low}, '-', {low} + {width}) END"
     )
 
 
-def capped_count_label(count: Column, cap: int) -> Column:
+def capped_count_label(count: str, cap: int) -> str:
     """The count as text, ``cap+`` from the cap on."""
-    return F.when(count >= cap, F.lit(f"{cap}+")).otherwise(count.cast("bigint").cast("string"))
+    return f"CASE WHEN {count} >= {cap} THEN '{cap}+' ELSE CAST(CAST({count} AS BIGINT) AS STRING) END"
 
 
-def line_split(line: Column, sku_name: Column, target: str, keyword: str) -> Column:
+def line_split(line: str, sku_name: str, target: str, keyword: str) -> str:
     """Divide one product line by a keyword in the SKU name."""
-    has_keyword = sku_name.contains(keyword)
     return (
-        F.when(line != target, line)
-        .when((line == target) & has_keyword, F.lit(f"{target}_WITH"))
-        .when((line == target) & ~has_keyword, F.lit(f"{target}_WITHOUT"))
+        f"CASE WHEN {line} <> '{target}' THEN {line} "
+        f"WHEN {sku_name} LIKE '%{keyword}%' AND {line} = '{target}' THEN '{target}_WITH' "
+        f"WHEN {sku_name} NOT LIKE '%{keyword}%' AND {line} = '{target}' THEN '{target}_WITHOUT' END"
     )

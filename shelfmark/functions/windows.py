@@ -8,9 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from shelfmark.calendar import ReportCalendar
 
 TY = "ty"
@@ -18,21 +15,25 @@ LY = "ly"
 PERIODS = (TY, LY)
 
 
-def paid_before(day_col: Column, cal: ReportCalendar) -> Column:
-    return day_col < F.lit(cal.as_of)
+def date_literal(day: dt.date) -> str:
+    return f"DATE'{day.isoformat()}'"
+
+
+def paid_before(day: str, cal: ReportCalendar) -> str:
+    return f"{day} < {date_literal(cal.as_of)}"
 
 
-def ytd_window(day_col: Column, cal: ReportCalendar, period: str, bounded: bool = True) -> Column:
+def ytd_window(day: str, cal: ReportCalendar, period: str, bounded: bool = True) -> str:
     """Year-to-date of this year (``ty``, upper bound optional) or last year (``ly``)."""
     if period == TY:
-        inside = day_col >= F.lit(cal.ty_start)
-        return inside & paid_before(day_col, cal) if bounded else inside
+        inside = f"{day} >= {date_literal(cal.ty_start)}"
+        return f"({inside} AND {paid_before(day, cal)})" if bounded else f"({inside})"
     if period == LY:
         after_end = cal.ly_end + dt.timedelta(days=1)
-        return (day_col >= F.lit(cal.ly_start)) & (day_col < F.lit(after_end))
+        return f"({day} >= {date_literal(cal.ly_start)} AND {day} < {date_literal(after_end)})"
     raise ValueError(f"unknown period {period!r}")
 
 
-def in_calendar_year(day_col: Column, cal: ReportCalendar) -> Column:
+def in_calendar_year(day: str, cal: ReportCalendar) -> str:
     """``year(d) = year(as_of)`` as a range, so that it can prune files and row groups."""
-    return (day_col >= F.lit(cal.year_start)) & (day_col < F.lit(cal.next_year_start))
+    return f"({day} >= {date_literal(cal.year_start)} AND {day} < {date_literal(cal.next_year_start)})"

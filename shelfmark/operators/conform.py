@@ -16,18 +16,27 @@ from shelfmark.sources.tables import Warehouse
 _ELIGIBILITY = ("source_channel", "sales_type", "order_type", "order_paid_date")
 _IDENTITY = ("type_name", "type_value", "member_ref", "parent_order_id")
 
+VALID_MEMBER_ORDER = "is_member_order AND is_effective"
 
-def eligible_channel_filter(lines: DataFrame, conv: Conventions, channels: Sequence[str]) -> DataFrame:
+
+def eligible_channels(conv: Conventions, channels: Sequence[str]) -> str:
     """Listed channels; store lines of a countable sales type, online lines of normal orders.
     An unknown sales type is not countable."""
-    channel = F.col("source_channel")
-    store = (channel == conv.store_channel) & (F.col("sales_type") != conv.excluded_store_sales_type)
-    online = channel.isin(*conv.online_channels) & (F.col("order_type") == conv.normal_order_type)
-    return lines.filter(channel.isin(*channels) & (store | online))
+    listed = f"source_channel IN ({segments.text_list(channels)})"
+    store = f"(source_channel = '{conv.store_channel}' AND sales_type <> {conv.excluded_store_sales_type})"
+    online = (
+        f"(source_channel IN ({segments.text_list(conv.online_channels)})"
+        f" AND order_type = '{conv.normal_order_type}')"
+    )
+    return f"{listed} AND ({store} OR {online})"
+
+
+def eligible_channel_filter(lines: DataFrame, conv: Conventions, channels: Sequence[str]) -> DataFrame:
+    return lines.filter(eligible_channels(conv, channels))
 
 
 def valid_member_order_filter(lines: DataFrame) -> DataFrame:
-    return lines.filter(F.col("is_member_order") & F.col("is_effective"))
+    return lines.filter(VALID_MEMBER_ORDER)
 
 
 def attach_member_bridge(lines: DataFrame, bridge: DataFrame) -> DataFrame:
@@ -37,36 +46,30 @@ def attach_member_bridge(lines: DataFrame, bridge: DataFrame) -> DataFrame:
     hash to one task. They get an unmatchable key of their own (NUL byte + order id), which
     spreads them evenly. Heavy references that do exist are split by AQE's skew join.
     """
-    ref = F.coalesce(
-        F.col("member_ref").cast("string"),
-        F.concat(F.lit("\u0000"), F.col("parent_order_id")),
-    )
-    keyed = bridge.withColumn("_member_key", F.col("member_id").cast("string")).drop("member_id")
-    return (
-        lines.withColumn("_ref_key", ref)
-        .join(keyed, F.col("_ref_key") == F.col("_member_key"), "left")
-        .drop("_ref_key", "_member_key")
-    )
+    keyed = bridge.withColumnRenamed("member_id", "bridge_member_id")
+    own_key = "coalesce(CAST(member_ref AS STRING), concat(chr(0), parent_order_id))"
+    same = f"{own_key} = CAST(bridge_member_id AS STRING)"
+    return lines.join(keyed, F.expr(same), "left").drop("bridge_member_id")
 
 
 def city_maturity(wh: Warehouse) -> DataFrame:
     """Distinct (city, maturity) of the cities that have a store."""
-    store = wh.table("store", ["city"])
     kinds = wh.table("city_type", ["city", "city_type"])
     return (
-        store.join(kinds, "city", "left")
-        .select(F.col("city").alias("store_city"), F.col("city_type").alias("city_maturity"))
+        wh.table("store", ["city"])
+        .join(kinds, "city", "left")
+        .selectExpr("city AS store_city", "city_type AS known_maturity")
         .distinct()
     )
 
 
 def attach_city_maturity(lines: DataFrame, wh: Warehouse) -> DataFrame:
     """Maturity of the order's city and its tier, unknown values labelled."""
-    return (
-        lines.join(city_maturity(wh), F.col("city") == F.col("store_city"), "left")
-        .withColumn("city_maturity", segments.fill_city_maturity(F.col("city_maturity")))
-        .withColumn("city_tier", segments.fill_city_tier(F.col("city_tier")))
-        .drop("store_city")
+    kept = [c for c in lines.columns if c != "city_tier"]
+    return lines.join(city_maturity(wh), F.expr("city = store_city"), "left").selectExpr(
+        *kept,
+        f"{segments.fill_city_tier('city_tier')} AS city_tier",
+        f"{segments.fill_city_maturity('known_maturity')} AS city_maturity",
     )
 
 
@@ -77,27 +80,26 @@ def conform_order_lines(
     channels: Sequence[str],
     columns: Sequence[str],
     bridge: DataFrame | None = None,
+    where: str = "TRUE",
 ) -> DataFrame:
     """Eligible lines paid before ``as_of`` with ``member_id`` (canonical) and
     ``member_detail_id``, plus the requested source columns and ``paid_date``.
 
-    ``bridge`` may carry further per-member columns; they come along.
+    ``bridge`` may carry further per-member columns; they come along. ``where`` is a further
+    condition on the source columns, applied before any join.
     """
-    needed = dict.fromkeys([*_ELIGIBILITY, *_IDENTITY, *columns])
-    lines = wh.table("order_lines", list(needed))
-    lines = eligible_channel_filter(lines, conv, channels).filter(
-        paid_before(F.col("order_paid_date"), cal)
-    )
+    needed = list(dict.fromkeys([*_ELIGIBILITY, *_IDENTITY, *columns]))
     if bridge is None:
         bridge = wh.table("member_bridge", ["id", "member_id"])
     carried = [c for c in bridge.columns if c not in ("id", "member_id")]
-    lines = attach_member_bridge(lines, bridge)
-    return lines.select(
-        segments.canonical_member_id(
-            F.col("type_name"), F.col("type_value"), F.col("id"), conv.known_identity_types
-        ).alias("member_id"),
-        F.col("id").cast("string").alias("member_detail_id"),
-        F.to_date("order_paid_date").alias("paid_date"),
+    lines = wh.table("order_lines", needed).filter(
+        f"{eligible_channels(conv, channels)} AND {paid_before('order_paid_date', cal)} AND {where}"
+    )
+    canonical = segments.canonical_member_id("type_name", "type_value", "id", conv.known_identity_types)
+    return attach_member_bridge(lines, bridge).selectExpr(
+        f"{canonical} AS member_id",
+        "CAST(id AS STRING) AS member_detail_id",
+        "CAST(order_paid_date AS DATE) AS paid_date",
         *dict.fromkeys(["parent_order_id", "order_paid_date", *columns]),
         *carried,
     )

@@ -7,18 +7,22 @@ evenly sized, correctly ordered slots, so that no member has to be ranked in one
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLOT_DIGITS = 3  # 4,096 slots per instant
 
 
+def _extremes(items: tuple[str, ...]) -> list[str]:
+    return [f"{how}({how}_{i}) AS {how}_{i}" for i in items for how in ("min", "max")]
+
+
 def first_paid_time(valid: DataFrame, items: tuple[str, ...] = ()) -> DataFrame:
     """One row per (order, member): earliest payment. ``items`` adds the lowest and highest
     value of each named column, enough to tell whether an order holds two different ones."""
-    spread = [e for c in items for e in (F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"))]
+    spread = [f"{how}({i}) AS {how}_{i}" for i in items for how in ("min", "max")]
     return valid.groupBy("parent_order_id", "member_id").agg(
-        F.min("order_paid_time").alias("first_paid_time"), *spread
+        *map(F.expr, ["min(order_paid_time) AS first_paid_time", *spread])
     )
 
 
@@ -31,55 +35,43 @@ def order_rank_flags(entries: DataFrame, items: tuple[str, ...] = ()) -> DataFra
     to their orders by a second one. Both combine map-side, so a member (or the group of
     unidentified members) owning a large share of all orders costs no more than any other.
     """
-    earliest = F.struct(
-        "first_paid_time", F.md5("parent_order_id").alias("tie"), F.col("parent_order_id").alias("order")
-    )
-    spread = [c for i in items for c in (f"min_{i}", f"max_{i}")]
-    never = F.lit(False)
-    votes = F.explode(
-        F.array(
-            F.struct(
-                F.lit("order").alias("kind"),
-                F.col("parent_order_id").alias("key"),
-                F.when(never, earliest).alias("first"),
-                *spread,
-            ),
-            F.struct(
-                F.lit("member").alias("kind"),
-                F.col("member_id").alias("key"),
-                earliest.alias("first"),
-                *[F.when(never, F.col(c)).alias(c) for c in spread],
-            ),
-        )
+    earliest = (
+        "named_struct('paid', first_paid_time, 'tie', md5(parent_order_id), 'order_id', parent_order_id)"
     )
-    extremes = [(F.min if c.startswith("min_") else F.max)(c).alias(c) for c in spread]
+    spread = [f"{how}_{i}" for i in items for how in ("min", "max")]
+    own = "".join(f", '{c}', {c}" for c in spread)
+    none = "".join(f", '{c}', CASE WHEN false THEN {c} END" for c in spread)
+    votes = f"""inline(array(
+      named_struct('kind', 'order', 'key', parent_order_id, 'first', CASE WHEN false THEN {earliest} END{own}),
+      named_struct('kind', 'member', 'key', member_id, 'first', {earliest}{none})))"""
     counted = (
-        entries.select(votes.alias("v"))
-        .select("v.*")
+        entries.selectExpr(votes)
         .groupBy("kind", "key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first"), *extremes)
+        .agg(*map(F.expr, ["count(*) AS n", "min(first) AS first", *_extremes(items)]))
     )
-    is_order = F.col("kind") == "order"
     per_order = (
-        counted.select(
-            F.when(is_order, F.col("key")).otherwise(F.col("first.order")).alias("ranked_order_id"),
-            F.when(is_order, F.col("n")).otherwise(F.lit(0)).alias("entries"),
-            F.when(is_order, F.lit(0)).otherwise(F.lit(1)).alias("firsts"),
+        counted.selectExpr(
+            "CASE WHEN kind = 'order' THEN key ELSE first.order_id END AS ranked_order_id",
+            "CASE WHEN kind = 'order' THEN n ELSE 0 END AS entries",
+            "CASE WHEN kind = 'order' THEN 0 ELSE 1 END AS firsts",
             *spread,
         )
         .groupBy("ranked_order_id")
         .agg(
-            F.sum("entries").cast("int").alias("n_entries"),
-            F.sum("firsts").cast("int").alias("n_first"),
-            *extremes,
+            *map(
+                F.expr,
+                [
+                    "CAST(sum(firsts) AS INT) AS n_first",
+                    "CAST(sum(entries) - sum(firsts) AS INT) AS n_repeat",
+                    *_extremes(items),
+                ],
+            )
         )
     )
-    return per_order.select(
-        "ranked_order_id",
-        "n_first",
-        (F.col("n_entries") - F.col("n_first")).alias("n_repeat"),
-        *[(F.col(f"min_{i}") < F.col(f"max_{i}")).alias(f"several_{i}") for i in items],
-    )
+    if not items:
+        return per_order
+    several = [f"min_{i} < max_{i} AS several_{i}" for i in items]
+    return per_order.selectExpr("ranked_order_id", "n_first", "n_repeat", *several)
 
 
 def lifetime_order_rank(entries: DataFrame) -> DataFrame:
@@ -91,58 +83,53 @@ def lifetime_order_rank(entries: DataFrame) -> DataFrame:
     member's hours, and everything is a function of the data, so a lost executor's part is
     recomputed to the same ranks.
     """
-    placed = entries.select(
+    placed = entries.selectExpr(
         "parent_order_id",
         "member_id",
         "first_paid_time",
-        F.date_trunc("hour", "first_paid_time").alias("hour"),
-        F.md5("parent_order_id").alias("tie"),
-    ).withColumn("slot", F.substring("tie", 1, SLOT_DIGITS))
-
-    cell = ["member_id", "hour", "first_paid_time", "slot"]
-    cells = placed.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
-    earlier_cells = (
-        Window.partitionBy("member_id", "hour")
-        .orderBy("first_paid_time", "slot")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        "date_trunc('HOUR', first_paid_time) AS hour",
+        "md5(parent_order_id) AS tie",
+        f"substring(md5(parent_order_id), 1, {SLOT_DIGITS}) AS slot",
     )
-    cells = cells.withColumn("before_in_hour", F.coalesce(F.sum("n").over(earlier_cells), F.lit(0)))
-    earlier_hours = (
-        Window.partitionBy("member_id").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
+    cell = ["member_id", "hour", "first_paid_time", "slot"]
+    cells = (
+        placed.groupBy(*cell)
+        .agg(F.expr("count(*) AS n"))
+        .selectExpr(
+            *cell,
+            "n",
+            "coalesce(sum(n) OVER (PARTITION BY member_id, hour ORDER BY first_paid_time, slot"
+            " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_in_hour",
+        )
     )
     hours = (
         cells.groupBy("member_id", "hour")
-        .agg(F.sum("n").alias("n"))
-        .select(
-            F.col("member_id").alias("h_member"),
-            F.col("hour").alias("h_hour"),
-            F.coalesce(F.sum("n").over(earlier_hours), F.lit(0)).alias("before_hours"),
+        .agg(F.expr("sum(n) AS n"))
+        .selectExpr(
+            "member_id AS h_member",
+            "hour AS h_hour",
+            "coalesce(sum(n) OVER (PARTITION BY member_id ORDER BY hour"
+            " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_hours",
         )
     )
-    offsets = cells.join(
-        hours,
-        F.col("member_id").eqNullSafe(F.col("h_member")) & F.col("hour").eqNullSafe(F.col("h_hour")),
-    ).select(
-        *[F.col(c).alias(f"c_{c}") for c in cell],
-        (F.col("before_in_hour") + F.col("before_hours")).alias("offset"),
+    offsets = cells.join(hours, F.expr("member_id <=> h_member AND hour <=> h_hour")).selectExpr(
+        *[f"{c} AS c_{c}" for c in cell], "before_in_hour + before_hours AS earlier"
     )
-    in_cell = F.row_number().over(Window.partitionBy(*cell).orderBy("tie", "parent_order_id"))
-    same_cell = F.lit(True)
-    for c in cell:
-        same_cell = same_cell & F.col(c).eqNullSafe(F.col(f"c_{c}"))
+    same_cell = " AND ".join(f"{c} <=> c_{c}" for c in cell)
     return (
-        placed.withColumn("in_cell", in_cell)
-        .join(offsets, same_cell)
-        .select(
-            "parent_order_id",
-            "member_id",
-            "first_paid_time",
-            (F.col("offset") + F.col("in_cell")).cast("bigint").alias("rk"),
+        placed.selectExpr(
+            "*",
+            f"row_number() OVER (PARTITION BY {', '.join(cell)} ORDER BY tie, parent_order_id) AS in_cell",
+        )
+        .join(offsets, F.expr(same_cell))
+        .selectExpr(
+            "parent_order_id", "member_id", "first_paid_time", "CAST(earlier + in_cell AS BIGINT) AS rk"
         )
     )
 
 
 def previous_purchase_date(days: DataFrame) -> DataFrame:
     """Previous purchase day per member over distinct days (at most one row per day)."""
-    by_day = Window.partitionBy("member_id").orderBy("paid_date")
-    return days.withColumn("prev_paid_date", F.lag("paid_date").over(by_day))
+    return days.selectExpr(
+        "*", "lag(paid_date) OVER (PARTITION BY member_id ORDER BY paid_date) AS prev_paid_date"
+    )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.calendar import ReportCalendar
-from shelfmark.functions.measures import net_sales, nullif_zero, safe_ratio
+from shelfmark.functions.measures import net_sales, safe_ratio
 from shelfmark.functions.segments import capped_count_label
 from shelfmark.functions.windows import in_calendar_year
 
@@ -14,31 +14,30 @@ from shelfmark.functions.windows import in_calendar_year
 def member_base(valid: DataFrame, cal: ReportCalendar) -> DataFrame:
     """Per canonical member: sales, average ticket, frequency, breadth, activity this year.
 
-    Lines without a canonical member form one row whose frequency is NULL.
+    Lines without a canonical member form one row whose frequency is NULL. Columns a report
+    does not use are pruned before the aggregation.
     """
-    known = F.col("member_id").isNotNull()
-    this_year = in_calendar_year(F.col("order_paid_date"), cal)
-    base = valid.groupBy("member_id").agg(
-        net_sales(F.col("sales_qty"), F.col("order_amt")).alias("member_sales"),
-        F.count_distinct("parent_order_id").alias("orders"),
-        F.count_distinct("product_line").alias("line_count"),
-        F.count_distinct("sku_id").alias("sku_count"),
-        F.max(this_year).alias("active_this_year"),
-    )
-    return base.select(
+    aggregates = [
+        f"{net_sales()} AS net",
+        "count(DISTINCT parent_order_id) AS orders",
+        "count(DISTINCT product_line) AS line_count",
+        "count(DISTINCT sku_id) AS sku_count",
+        f"max({in_calendar_year('order_paid_date', cal)}) AS active",
+    ]
+    return valid.groupBy("member_id").agg(*map(F.expr, aggregates)).selectExpr(
         "member_id",
-        F.col("member_sales").cast("double").alias("member_sales"),
-        safe_ratio(F.col("member_sales"), F.col("orders")).alias("member_atv"),
-        F.when(known, F.col("orders")).alias("member_frequency"),
+        "CAST(net AS DOUBLE) AS member_sales",
+        f"{safe_ratio('net', 'orders')} AS member_atv",
+        "CASE WHEN member_id IS NOT NULL THEN orders END AS member_frequency",
         "line_count",
         "sku_count",
-        F.when(known & F.col("active_this_year"), F.lit(1)).cast("bigint").alias("member_shopper_ytd"),
+        "CASE WHEN member_id IS NOT NULL AND active THEN 1L END AS member_shopper_ytd",
     )
 
 
-def share_of_total(value: Column) -> Column:
+def share_of_total(value: str) -> str:
     """Share of the column's sum over all rows; for reports of a handful of rows only."""
-    return safe_ratio(value, F.sum(value).over(Window.partitionBy()))
+    return safe_ratio(value, f"sum({value}) OVER ()")
 
 
 def member_distribution(base: DataFrame, count_col: str, cap: int, label: str) -> DataFrame:
@@ -47,18 +46,18 @@ def member_distribution(base: DataFrame, count_col: str, cap: int, label: str) -
     At most ``cap + 2`` rows leave the aggregation, so the total over them is a small window.
     """
     return (
-        base.groupBy(capped_count_label(F.col(count_col), cap).alias(label))
-        .agg(
-            F.count("member_id").alias("members"),
-            F.sum("member_shopper_ytd").alias("member_shopper_YTD"),
-        )
-        .withColumn("member_share", share_of_total(F.col("members")))
-        .withColumn(
-            "share_purchased_YTD", F.col("member_shopper_YTD").cast("double") / nullif_zero(F.col("members"))
+        base.groupBy(F.expr(capped_count_label(count_col, cap)).alias(label))
+        .agg(F.expr("count(member_id) AS members"), F.expr("sum(member_shopper_ytd) AS active"))
+        .selectExpr(
+            label,
+            "members AS member_shopper_LTD",
+            f"{share_of_total('members')} AS member_share",
+            "active AS member_shopper_YTD",
+            f"{safe_ratio('active', 'members')} AS share_purchased_YTD",
         )
     )
 
 
-def new_members(members: DataFrame, pred: Column) -> DataFrame:
-    """Distinct ids of members who joined in a window."""
-    return members.filter(pred).select("member_detail_id").distinct()
+def new_members(members: DataFrame, condition: str) -> DataFrame:
+    """Distinct ids of members who meet a joining condition."""
+    return members.filter(condition).select("member_detail_id").distinct()

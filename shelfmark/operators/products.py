@@ -16,43 +16,37 @@ ALL, RATED, RATED_AND_SELLING = "all", "rated", "rated_and_selling"
 
 def skus_sold_this_year(wh: Warehouse, cal: ReportCalendar) -> DataFrame:
     sales = wh.table("store_sales", ["sku_id", "sale_date"])
-    sold = sales.filter(in_calendar_year(F.col("sale_date"), cal))
-    return sold.select(F.col("sku_id").alias("sold_sku")).distinct()
+    return sales.filter(in_calendar_year("sale_date", cal)).selectExpr("sku_id AS sold_sku").distinct()
 
 
 def selling_this_year(products: DataFrame, wh: Warehouse, cal: ReportCalendar) -> DataFrame:
     """Keep products with a store sale in the calendar year."""
-    return products.join(
-        skus_sold_this_year(wh, cal), F.col("sku_id") == F.col("sold_sku"), "left_semi"
-    )
+    return products.join(skus_sold_this_year(wh, cal), F.expr("sku_id = sold_sku"), "left_semi")
 
 
 def sku_attributes(wh: Warehouse, cal: ReportCalendar, base: str = ALL, zero_is_low: bool = False) -> DataFrame:
     """Derived attributes of each SKU, columns prefixed ``a_``; ``base`` picks the SKUs."""
-    products = wh.table(
-        "product", ["sku_id", "product_line", "age_mark", "rsp", "bu_launch_date"]
-    )
+    products = wh.table("product", ["sku_id", "product_line", "age_mark", "rsp", "bu_launch_date"])
     if base in (RATED, RATED_AND_SELLING):
-        products = products.filter(segments.is_rated(F.col("age_mark")))
+        products = products.filter(segments.is_rated("age_mark"))
     if base == RATED_AND_SELLING:
         products = selling_this_year(products, wh, cal)
-    years = segments.min_age(F.col("age_mark"))
-    return products.select(
-        F.col("sku_id").alias("a_sku_id"),
-        F.col("product_line").alias("a_product_line"),
-        F.col("bu_launch_date").alias("a_bu_launch_date"),
-        years.alias("a_min_age"),
-        segments.age_band(years).alias("a_age_band"),
-        segments.price_band(F.col("rsp"), zero_is_low).alias("a_price_band"),
+    years = segments.min_age("age_mark")
+    return products.selectExpr(
+        "sku_id AS a_sku_id",
+        "product_line AS a_product_line",
+        "bu_launch_date AS a_bu_launch_date",
+        f"{segments.price_band('rsp', zero_is_low)} AS a_price_band",
+        f"{years} AS a_min_age",
     )
 
 
 def attach_sku_attributes(rows: DataFrame, attributes: DataFrame) -> DataFrame:
-    return rows.join(attributes, F.col("sku_id") == F.col("a_sku_id"), "left")
+    return rows.join(attributes, F.expr("sku_id = a_sku_id"), "left")
 
 
 def sku_distribution(products: DataFrame, *keys: str) -> DataFrame:
-    return products.groupBy(*keys).agg(F.count_distinct("sku_id").alias("sku_count"))
+    return products.groupBy(*keys).agg(F.expr("count(DISTINCT sku_id) AS sku_count"))
 
 
 def plan_value(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
@@ -64,18 +58,16 @@ def plan_value(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFra
         "sku_plan",
         ["sku_id", "plan_year", "plan_month", "plan_qty", "review_channel", "plan_version"],
     ).filter(
-        (F.col("plan_year") == cal.year)
-        & (F.col("plan_month") <= cal.as_of.month)
-        & F.col("review_channel").like(conv.plan_channel_like)
-        & (F.col("plan_version") == conv.plan_version)
+        f"plan_year = {cal.year} AND plan_month <= {cal.as_of.month}"
+        f" AND review_channel LIKE '{conv.plan_channel_like}' AND plan_version = '{conv.plan_version}'"
     )
-    quantity = plan.groupBy("sku_id").agg(F.sum("plan_qty").cast("decimal(18,0)").alias("plan_qty"))
-    product = wh.table("product", ["sku_id", "product_line", "rsp", "store_launch_date"]).select(
-        F.col("sku_id").alias("p_sku_id"),
-        F.col("product_line").alias("p_product_line"),
-        F.col("store_launch_date").alias("p_store_launch_date"),
-        F.col("rsp").alias("p_rsp"),
+    quantity = plan.groupBy("sku_id").agg(F.expr("CAST(sum(plan_qty) AS DECIMAL(18,0)) AS plan_qty"))
+    product = wh.table("product", ["sku_id", "product_line", "rsp", "store_launch_date"]).selectExpr(
+        "sku_id AS p_sku_id",
+        "product_line AS p_product_line",
+        "store_launch_date AS p_store_launch_date",
+        "rsp AS p_rsp",
     )
-    return quantity.join(product, F.col("sku_id") == F.col("p_sku_id"), "left").withColumn(
-        "plan_value", F.col("p_rsp") * F.col("plan_qty")
+    return quantity.join(product, F.expr("sku_id = p_sku_id"), "left").selectExpr(
+        "*", "p_rsp * plan_qty AS plan_value"
     )

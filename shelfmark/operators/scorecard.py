@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.calendar import ReportCalendar
@@ -18,7 +18,6 @@ from shelfmark.conventions import Conventions
 from shelfmark.functions.measures import (
     MONEY_TOTAL,
     growth,
-    nullif_zero,
     safe_ratio,
     share_change,
     signed_amount,
@@ -26,23 +25,23 @@ from shelfmark.functions.measures import (
 )
 from shelfmark.functions.windows import LY, PERIODS, TY, ytd_window
 from shelfmark.operators import products
-from shelfmark.operators.conform import attach_city_maturity, conform_order_lines, valid_member_order_filter
+from shelfmark.operators.conform import VALID_MEMBER_ORDER, attach_city_maturity, conform_order_lines
 from shelfmark.operators.lifetime import first_paid_time, order_rank_flags
 from shelfmark.sources.tables import Warehouse
 
 
 @dataclass(frozen=True)
 class Dimension:
-    """A key of a scorecard and where each block takes it from.
+    """A key of a scorecard and the expression each block takes it from.
 
     The rules of ``sales`` and ``kpi`` receive the period, because some keys are defined
     differently for this year and last year.
     """
 
     name: str
-    plan: Callable[[ReportCalendar], Column]
-    sales: Callable[[ReportCalendar, str], Column]
-    kpi: Callable[[ReportCalendar, str], Column]
+    plan: Callable[[ReportCalendar], str]
+    sales: Callable[[ReportCalendar, str], str]
+    kpi: Callable[[ReportCalendar, str], str]
 
 
 @dataclass(frozen=True)
@@ -58,11 +57,11 @@ class ScorecardSpec:
     zero_price_is_low: bool = False
     sku_blocks: frozenset[str] = frozenset()
     # Descriptive columns reported next to the keys, from the sales block.
-    descriptions: Mapping[str, Callable[[ReportCalendar], Column]] = field(default_factory=dict)
+    descriptions: Mapping[str, Callable[[ReportCalendar], str]] = field(default_factory=dict)
     # Whether this year's sales stop at ``as_of``, for dimension rows and for the total.
     bound_rows: bool = True
     bound_total: bool = True
-    # Whether members who join on or after ``as_of`` count as new this year.
+    # Whether members who join on or after ``as_of`` do not count as new this year.
     bound_new_members: bool = True
     # No change of the average ticket is reported as NULL rather than 0.
     hide_unchanged_atv: bool = False
@@ -74,164 +73,252 @@ class ScorecardSpec:
         return [d.name for d in self.dimensions]
 
 
+@dataclass(frozen=True)
+class ExtraCounts:
+    """Further distinct counts of this year, and the columns they are made from."""
+
+    counts: Mapping[str, tuple[str, str]] = field(default_factory=dict)
+    line_columns: Sequence[str] = ()
+    needs_city: bool = False
+    bridge_columns: DataFrame | None = None
+    order_items: tuple[str, ...] = ()
+
+
 @dataclass(frozen=True)
 class Branch:
-    """One way a row can count: under a period and a key, or in the total."""
+    """One way a row can count: under a period and its own labels, or in the total."""
 
-    when: Column
+    when: str
     period: str
     is_total: bool
-    labels: Mapping[str, Column]
+    labels: Mapping[str, str]
+
+    def sql(self) -> str:
+        fields = {"period": f"'{self.period}'", "is_total": str(self.is_total).lower(), **self.labels}
+        struct = ", ".join(f"'{n}', {e}" for n, e in fields.items())
+        return f"CASE WHEN {self.when} THEN named_struct({struct}) END"
 
 
 def branch_rows(rows: DataFrame, branches: Sequence[Branch], carry: Sequence[str]) -> DataFrame:
     """One output row per branch that applies to an input row."""
-    variants = [
-        F.when(
-            b.when,
-            F.struct(
-                F.lit(b.period).alias("period"),
-                F.lit(b.is_total).alias("is_total"),
-                *[c.alias(n) for n, c in b.labels.items()],
-            ),
-        )
-        for b in branches
-    ]
-    exploded = rows.select(*carry, F.explode(F.array_compact(F.array(*variants))).alias("_b"))
-    return exploded.select("_b.*", *carry)
+    variants = ",\n".join(b.sql() for b in branches)
+    return rows.selectExpr(*carry, f"inline(array_compact(array({variants})))")
 
 
-def _total_labels(names: Sequence[str], conv: Conventions) -> dict[str, Column]:
-    return {n: F.lit(conv.total_label) for n in names}
+def _total_labels(names: Sequence[str], conv: Conventions) -> dict[str, str]:
+    return {n: f"'{conv.total_label}'" for n in names}
 
 
-def _any_null(names: Sequence[str]) -> Column:
-    test = F.lit(False)
-    for n in names:
-        test = test | F.col(n).isNull()
-    return test
-
-
-# -- sales -------------------------------------------------------------------------------
-
-
-def _sales_lines(wh: Warehouse, cal: ReportCalendar, spec: ScorecardSpec) -> DataFrame:
-    columns = ["parent_order_id", "sku_id", "sale_date", "sales_qty", "order_amt", *spec.sales_columns]
-    lines = wh.table("store_sales", list(dict.fromkeys(columns)))
-    lines = lines.filter(
-        ytd_window(F.col("sale_date"), cal, TY, spec.bound_rows and spec.bound_total)
-        | ytd_window(F.col("sale_date"), cal, LY)
-    )
-    if "sales" in spec.sku_blocks:
-        attributes = products.sku_attributes(wh, cal, spec.sku_base, spec.zero_price_is_low)
-        lines = products.attach_sku_attributes(lines, attributes)
-    return lines.withColumn("net", signed_amount(F.col("sales_qty"), F.col("order_amt")))
-
-
-def sales_block(wh: Warehouse, cal: ReportCalendar, conv: Conventions, spec: ScorecardSpec) -> DataFrame:
-    """Net sales and distinct orders per key and in total, this year and last year, and the
-    share of sales. Rows without sales this year are left out; a row with an unknown key
-    value has no last year."""
-    lines = _sales_lines(wh, cal, spec)
-    day = F.col("sale_date")
-    names = [*spec.keys, *spec.descriptions]
-    branches = []
-    for period in PERIODS:
-        labels = {d.name: d.sales(cal, period) for d in spec.dimensions}
-        labels |= {n: rule(cal) for n, rule in spec.descriptions.items()}
-        branches.append(Branch(ytd_window(day, cal, period, spec.bound_rows), period, False, labels))
-        branches.append(
-            Branch(
-                ytd_window(day, cal, period, spec.bound_total), period, True, _total_labels(names, conv)
-            )
+@dataclass(frozen=True)
+class ScorecardRun:
+    """One scorecard over one warehouse and date; the blocks share the SKU attributes."""
+
+    wh: Warehouse
+    cal: ReportCalendar
+    conv: Conventions
+    spec: ScorecardSpec
+    extra: ExtraCounts = ExtraCounts()
+
+    def with_attributes(self, rows: DataFrame, block: str) -> DataFrame:
+        if block not in self.spec.sku_blocks:
+            return rows
+        attributes = products.sku_attributes(
+            self.wh, self.cal, self.spec.sku_base, self.spec.zero_price_is_low
         )
-    counted = branch_rows(lines, branches, ["parent_order_id", "net"]).groupBy("is_total", *names).agg(
-        *[
+        return products.attach_sku_attributes(rows, attributes)
+
+    # -- sales ---------------------------------------------------------------------------
+
+    def _sales_lines(self) -> DataFrame:
+        spec, cal = self.spec, self.cal
+        columns = ["parent_order_id", "sku_id", "sale_date", "sales_qty", "order_amt", *spec.sales_columns]
+        ty = ytd_window("sale_date", cal, TY, spec.bound_rows and spec.bound_total)
+        lines = self.wh.table("store_sales", list(dict.fromkeys(columns)))
+        return self.with_attributes(lines.filter(f"{ty} OR {ytd_window('sale_date', cal, LY)}"), "sales")
+
+    def sales_block(self) -> DataFrame:
+        """Net sales and distinct orders per key and in total, this year and last year, and
+        the share of sales. Rows without sales this year are left out; a row with an unknown
+        key value has no last year."""
+        spec, cal = self.spec, self.cal
+        lines = self._sales_lines()
+        names = [*spec.keys, *spec.descriptions]
+        branches = []
+        for period in PERIODS:
+            labels = {d.name: d.sales(cal, period) for d in spec.dimensions}
+            labels |= {n: rule(cal) for n, rule in spec.descriptions.items()}
+            own = ytd_window("sale_date", cal, period, spec.bound_rows)
+            total = ytd_window("sale_date", cal, period, spec.bound_total)
+            branches.append(Branch(own, period, False, labels))
+            branches.append(Branch(total, period, True, _total_labels(names, self.conv)))
+        carry = ["parent_order_id", f"{signed_amount()} AS net"]
+        aggregates = [
             e
             for p in PERIODS
             for e in (
-                F.expr(f"sum(net) FILTER (WHERE period = '{p}')").cast(MONEY_TOTAL).alias(f"{p}_sales"),
-                F.expr(f"count(DISTINCT parent_order_id) FILTER (WHERE period = '{p}')").alias(f"{p}_orders"),
-                F.expr(f"count_if(period = '{p}')").alias(f"{p}_rows"),
+                f"CAST(sum(net) FILTER (WHERE period = '{p}') AS {MONEY_TOTAL}) AS {p}_sales",
+                f"count(DISTINCT parent_order_id) FILTER (WHERE period = '{p}') AS {p}_tickets",
+                f"count_if(period = '{p}') AS {p}_rows",
             )
         ]
-    )
-    compared = _compare_years(counted, spec)
-
-    ty_labels = {d.name: d.sales(cal, TY) for d in spec.dimensions}
-    denominator = (
-        lines.filter(ytd_window(day, cal, TY, spec.bound_rows) & ty_labels[spec.share_key].isNotNull())
-        .agg(F.sum("net").alias("all_sales"))
-        .scalar()
-    )
-    return compared.withColumn("sales_rrp_share", safe_ratio(F.col("ty_sales"), denominator))
-
-
-def _compare_years(counted: DataFrame, spec: ScorecardSpec) -> DataFrame:
-    unknown = _any_null(spec.keys)
-    if not spec.descriptions:
-        return counted.filter("ty_rows > 0").select(
-            "is_total",
-            *spec.keys,
-            "ty_sales",
-            "ty_orders",
-            F.when(~unknown, F.col("ly_sales")).alias("ly_sales"),
-            F.when(~unknown & (F.col("ly_rows") > 0), F.col("ly_orders")).alias("ly_orders"),
+        counted = (
+            branch_rows(lines, branches, carry).groupBy("is_total", *names).agg(*map(F.expr, aggregates))
         )
-    # Described rows: every description of this year meets every one of last year that has
-    # the same key. A key has a handful of descriptions (names of one SKU), so the two short
-    # lists are gathered per key instead of joining the aggregate with itself.
-    this = F.struct(*spec.descriptions, "ty_sales", "ty_orders")
-    last = F.struct("ly_sales", "ly_orders")
-    return (
-        counted.groupBy("is_total", *spec.keys)
-        .agg(
-            F.collect_list(F.when(F.col("ty_rows") > 0, this)).alias("this"),
-            F.collect_list(F.when(F.col("ly_rows") > 0, last)).alias("last"),
+        share_key = next(d for d in spec.dimensions if d.name == spec.share_key).sales(cal, TY)
+        all_sales = (
+            lines.filter(f"{ytd_window('sale_date', cal, TY, spec.bound_rows)} AND ({share_key}) IS NOT NULL")
+            .agg(F.expr(f"sum({signed_amount()})"))
+            .scalar()
+        )
+        return self._compare_years(counted).withColumn("all_sales", all_sales)
+
+    def _compare_years(self, counted: DataFrame) -> DataFrame:
+        spec = self.spec
+        known = " AND ".join(f"{k} IS NOT NULL" for k in spec.keys)
+        if not spec.descriptions:
+            return counted.filter("ty_rows > 0").selectExpr(
+                "is_total",
+                *spec.keys,
+                "ty_sales",
+                "ty_tickets",
+                f"CASE WHEN {known} THEN ly_sales END AS ly_sales",
+                f"CASE WHEN {known} AND ly_rows > 0 THEN ly_tickets END AS ly_tickets",
+            )
+        # Described rows: every description of this year meets every one of last year that
+        # has the same key. A key has a handful of descriptions (names of one SKU), so the
+        # two short lists are gathered per key instead of joining the aggregate with itself.
+        this = f"struct({', '.join(spec.descriptions)}, ty_sales, ty_tickets)"
+        last = "struct(ly_sales, ly_tickets)"
+        return (
+            counted.groupBy("is_total", *spec.keys)
+            .agg(
+                F.expr(f"collect_list(CASE WHEN ty_rows > 0 THEN {this} END) AS this"),
+                F.expr(f"collect_list(CASE WHEN ly_rows > 0 THEN {last} END) AS last"),
+            )
+            .selectExpr("is_total", *spec.keys, "last", "inline(this)")
+            .selectExpr(
+                "is_total",
+                *spec.keys,
+                *spec.descriptions,
+                "ty_sales",
+                "ty_tickets",
+                f"inline_outer(CASE WHEN {known} THEN last END)",
+            )
         )
-        .withColumn("this", F.explode("this"))
-        .select("is_total", *spec.keys, "this", F.explode_outer(F.when(~unknown, F.col("last"))).alias("last"))
-        .select("is_total", *spec.keys, "this.*", "last.*")
-    )
 
+    # -- plan ----------------------------------------------------------------------------
 
-# -- plan --------------------------------------------------------------------------------
+    def plan_block(self) -> DataFrame:
+        """Planned sales value per key and in total."""
+        spec = self.spec
+        plan = self.with_attributes(products.plan_value(self.wh, self.cal, self.conv), "plan")
+        branches = [
+            Branch("true", TY, False, {d.name: d.plan(self.cal) for d in spec.dimensions}),
+            Branch("true", TY, True, _total_labels(spec.keys, self.conv)),
+        ]
+        return (
+            branch_rows(plan, branches, ["plan_value"])
+            .groupBy("is_total", *spec.keys)
+            .agg(F.expr(f"CAST(sum(plan_value) AS {MONEY_TOTAL}) AS sales_plan"))
+        )
 
+    def sales_compare(self) -> DataFrame:
+        """Sales of both years next to the plan, per key and in total."""
+        return join_on_keys(self.sales_block(), self.plan_block(), ["is_total", *self.spec.keys])
+
+    # -- member metrics ------------------------------------------------------------------
+
+    def member_fact(self) -> DataFrame:
+        """Store lines of both periods with member, attribute and order-rank columns."""
+        spec, cal, extra = self.spec, self.cal, self.extra
+        columns = ["sales_qty", "order_amt", "is_member_order", "is_effective", "sku_id", *spec.kpi_columns]
+        if extra.needs_city:
+            columns += ["city", "city_tier"]
+        bridge = bridge_with(
+            self.wh.table("member_bridge", ["id", "member_id"]),
+            member_join_flags(self.wh, cal, self.conv, spec.bound_new_members),
+            *([extra.bridge_columns] if extra.bridge_columns is not None else []),
+        )
+        paid = "order_paid_date"
+        recent = f"({ytd_window(paid, cal, TY, bounded=False)} OR {ytd_window(paid, cal, LY)})"
+        lines = conform_order_lines(
+            self.wh, cal, self.conv, [self.conv.store_channel], columns, bridge, recent
+        )
+        lines = self.with_attributes(lines, "kpi")
+        if extra.needs_city:
+            lines = attach_city_maturity(lines, self.wh)
+        valid = valid_store_lines(self.wh, cal, self.conv, extra.order_items)
+        ranked = order_rank_flags(first_paid_time(valid, extra.order_items), extra.order_items)
+        return lines.join(ranked, F.expr("parent_order_id = ranked_order_id"), "left")
+
+    def member_kpis(self, fact: DataFrame | None = None) -> DataFrame:
+        """Base counts and sales per key and in total, columns prefixed ``ty_`` and ``ly_``.
+
+        The distinct counts use FILTER, so rows are expanded once per counted column (member,
+        order, canonical member), not once per count.
+        """
+        spec, cal, extra = self.spec, self.cal, self.extra
+        fact = self.member_fact() if fact is None else fact
+        branches = []
+        for period in PERIODS:
+            inside = ytd_window("order_paid_date", cal, period, bounded=False)
+            shared = {"is_new": f"coalesce(new_{period}, false)"}
+            labels = {d.name: d.kpi(cal, period) for d in spec.dimensions}
+            branches.append(Branch(inside, period, False, labels | shared))
+            branches.append(Branch(inside, period, True, _total_labels(spec.keys, self.conv) | shared))
+        carry = [
+            "member_detail_id",
+            "parent_order_id",
+            "member_id",
+            f"{signed_amount()} AS net",
+            "coalesce(is_member_order, false) AS member_order",
+            f"coalesce({VALID_MEMBER_ORDER}, false) AS valid",
+            "coalesce(n_first, 0) AS n_first",
+            "coalesce(n_repeat, 0) AS n_repeat",
+            *extra.line_columns,
+        ]
+        aggregates = []
+        for period in PERIODS:
+            own = f"period = '{period}'"
+            counts = BASE_COUNTS | (dict(extra.counts) if period == TY else {})
+            aggregates += [
+                f"count(DISTINCT {what}) FILTER (WHERE {own} AND {condition}) AS {period}_{name}"
+                for name, (what, condition) in counts.items()
+            ]
+            aggregates += [
+                f"CAST(sum(CASE WHEN {condition} THEN net * CAST({times} AS DECIMAL(10,0)) ELSE 0 END)"
+                f" FILTER (WHERE {own}) AS {MONEY_TOTAL}) AS {period}_{name}"
+                for name, (condition, times) in BASE_SALES.items()
+            ]
+            aggregates.append(f"count_if({own}) AS {period}_lines")
+        return (
+            branch_rows(fact, branches, carry)
+            .groupBy("is_total", *spec.keys)
+            .agg(*map(F.expr, aggregates))
+        )
 
-def plan_block(wh: Warehouse, cal: ReportCalendar, conv: Conventions, spec: ScorecardSpec) -> DataFrame:
-    """Planned sales value per key and in total."""
-    plan = products.plan_value(wh, cal, conv)
-    if "plan" in spec.sku_blocks:
-        attributes = products.sku_attributes(wh, cal, spec.sku_base, spec.zero_price_is_low)
-        plan = products.attach_sku_attributes(plan, attributes)
-    always = F.lit(True)
-    branches = [
-        Branch(always, TY, False, {d.name: d.plan(cal) for d in spec.dimensions}),
-        Branch(always, TY, True, _total_labels(spec.keys, conv)),
-    ]
-    return (
-        branch_rows(plan, branches, ["plan_value"])
-        .groupBy("is_total", *spec.keys)
-        .agg(F.sum("plan_value").cast(MONEY_TOTAL).alias("sales_plan"))
-    )
+    # -- assembly ------------------------------------------------------------------------
 
+    def joined(self) -> DataFrame:
+        """Sales, plan and member columns side by side, before the figures are formed."""
+        return join_on_keys(self.sales_compare(), self.member_kpis(), ["is_total", *self.spec.keys])
 
-# -- member metrics ----------------------------------------------------------------------
+    def report(self) -> DataFrame:
+        spec = self.spec
+        figures = {**sales_figures(spec), **metric_figures(spec)}
+        return self.joined().selectExpr(
+            *spec.keys, *spec.descriptions, *[f"{e} AS {n}" for n, e in figures.items()]
+        )
 
 
 def member_join_flags(wh: Warehouse, cal: ReportCalendar, conv: Conventions, bounded: bool) -> DataFrame:
     """Per member id (as a number): joined through a store this year / last year."""
-    joined = F.col("join_time")
-    flags = {
-        f"new_{TY}": ytd_window(joined, cal, TY, bounded),
-        f"new_{LY}": ytd_window(joined, cal, LY),
-    }
-    members = wh.table("member", ["member_detail_id", "join_time", "reg_channel"])
+    ty, ly = ytd_window("join_time", cal, TY, bounded), ytd_window("join_time", cal, LY)
     return (
-        members.filter(F.col("reg_channel").like(conv.registration_like))
-        .filter(flags["new_ty"] | flags["new_ly"])
-        .groupBy(F.col("member_detail_id").try_cast("bigint").alias("member_key"))
-        .agg(*[F.max(pred).alias(name) for name, pred in flags.items()])
+        wh.table("member", ["member_detail_id", "join_time", "reg_channel"])
+        .filter(f"reg_channel LIKE '{conv.registration_like}' AND ({ty} OR {ly})")
+        .groupBy(F.expr("try_cast(member_detail_id AS BIGINT) AS member_key"))
+        .agg(F.expr(f"max({ty}) AS new_ty"), F.expr(f"max({ly}) AS new_ly"))
     )
 
 
@@ -240,12 +327,18 @@ def bridge_with(bridge: DataFrame, *per_member: DataFrame) -> DataFrame:
 
     Joining the member tables to each other first leaves one join for the order fact.
     """
-    widened = bridge.withColumn("_id", F.col("id").cast("string").try_cast("bigint"))
     for columns in per_member:
-        widened = widened.join(
-            columns.withColumnRenamed("member_key", "_key"), F.col("_id") == F.col("_key"), "left"
-        ).drop("_key")
-    return widened.drop("_id")
+        same = "try_cast(CAST(id AS STRING) AS BIGINT) = member_key"
+        bridge = bridge.join(columns, F.expr(same), "left").drop("member_key")
+    return bridge
+
+
+def valid_store_lines(
+    wh: Warehouse, cal: ReportCalendar, conv: Conventions, columns: Sequence[str] = ()
+) -> DataFrame:
+    """All store lines of valid member orders up to ``as_of``."""
+    wanted = ["order_paid_time", "is_member_order", "is_effective", *columns]
+    return conform_order_lines(wh, cal, conv, [conv.store_channel], wanted, where=VALID_MEMBER_ORDER)
 
 
 # Distinct counts the 23 metrics are made of: name -> (what is counted, condition).
@@ -265,257 +358,95 @@ BASE_COUNTS: dict[str, tuple[str, str]] = {
 # Net sales: name -> (condition, how often a line counts). A line counts once per ranked
 # member of its order, and at least once in the overall figure.
 BASE_SALES: dict[str, tuple[str, str]] = {
-    "sales": ("member_order", "greatest(n_first + n_repeat, 1)"),
+    "member_sales": ("member_order", "greatest(n_first + n_repeat, 1)"),
     "new_sales": ("member_order AND is_new", "greatest(n_first + n_repeat, 1)"),
     "first_sales": ("member_order AND NOT is_new", "n_first"),
     "repeat_sales": ("member_order AND NOT is_new", "n_repeat"),
 }
 
 
-@dataclass(frozen=True)
-class ExtraCounts:
-    """Further distinct counts of this year, and the columns they are written in."""
-
-    counts: Mapping[str, tuple[str, str]] = field(default_factory=dict)
-    line_columns: Sequence[str] = ()
-    needs_city: bool = False
-    bridge_columns: DataFrame | None = None
-    order_items: tuple[str, ...] = ()
-
-
-def valid_store_lines(
-    wh: Warehouse, cal: ReportCalendar, conv: Conventions, columns: Sequence[str] = ()
-) -> DataFrame:
-    """All store lines of valid member orders up to ``as_of``."""
-    wanted = ["order_paid_time", "is_member_order", "is_effective", *columns]
-    return valid_member_order_filter(
-        conform_order_lines(wh, cal, conv, [conv.store_channel], wanted)
-    )
+def base_count(period: str, name: str) -> str:
+    """A base count after the join. The total of the member block exists even when no line
+    falls into a period (its counts are 0); dimension rows then have no figure."""
+    present = f"coalesce({period}_lines, 0) > 0"
+    return f"(CASE WHEN {present} THEN {period}_{name} WHEN is_total THEN 0L END)"
 
 
-def member_fact(
-    wh: Warehouse,
-    cal: ReportCalendar,
-    conv: Conventions,
-    spec: ScorecardSpec,
-    extra: ExtraCounts = ExtraCounts(),
-) -> DataFrame:
-    """Store lines of both periods with member, attribute and order-rank columns."""
-    columns = ["sales_qty", "order_amt", "is_member_order", "is_effective", "sku_id", *spec.kpi_columns]
-    if extra.needs_city:
-        columns += ["city", "city_tier"]
-    bridge = bridge_with(
-        wh.table("member_bridge", ["id", "member_id"]),
-        member_join_flags(wh, cal, conv, spec.bound_new_members),
-        *([extra.bridge_columns] if extra.bridge_columns is not None else []),
-    )
-    lines = conform_order_lines(wh, cal, conv, [conv.store_channel], columns, bridge)
-    paid = F.col("order_paid_date")
-    lines = lines.filter(ytd_window(paid, cal, TY, bounded=False) | ytd_window(paid, cal, LY))
-    if "kpi" in spec.sku_blocks:
-        attributes = products.sku_attributes(wh, cal, spec.sku_base, spec.zero_price_is_low)
-        lines = products.attach_sku_attributes(lines, attributes)
-    if extra.needs_city:
-        lines = attach_city_maturity(lines, wh)
-    items = extra.order_items
-    ranked = order_rank_flags(first_paid_time(valid_store_lines(wh, cal, conv, items), items), items)
-    return lines.join(ranked, F.col("parent_order_id") == F.col("ranked_order_id"), "left").withColumns(
-        {
-            "n_first": F.coalesce("n_first", F.lit(0)),
-            "n_repeat": F.coalesce("n_repeat", F.lit(0)),
-            "member_order": F.coalesce("is_member_order", F.lit(False)),
-            "valid": F.coalesce(F.col("is_member_order") & F.col("is_effective"), F.lit(False)),
-            "net": signed_amount(F.col("sales_qty"), F.col("order_amt")),
-        }
-    )
+def period_metrics(period: str, whole_repurchase_share: bool) -> dict[str, tuple[str, Callable]]:
+    """The 23 metrics of one period: name -> (expression, comparison with last year)."""
 
+    def count(name: str) -> str:
+        return base_count(period, name)
 
-def member_kpis(
-    fact: DataFrame,
-    cal: ReportCalendar,
-    conv: Conventions,
-    spec: ScorecardSpec,
-    extra: ExtraCounts = ExtraCounts(),
-) -> DataFrame:
-    """Base counts and sales per key and in total, columns prefixed ``ty_`` and ``ly_``.
+    def sales(name: str) -> str:
+        return f"{period}_{name}"
 
-    The distinct counts use FILTER, so rows are expanded once per counted column (member,
-    order, canonical member), not once per count.
-    """
-    paid = F.col("order_paid_date")
-    carry = [
-        "member_detail_id",
-        "parent_order_id",
-        "member_id",
-        "net",
-        "member_order",
-        "valid",
-        "n_first",
-        "n_repeat",
-        "new_ty",
-        "new_ly",
-        *extra.line_columns,
-    ]
-    branches = []
-    for period in PERIODS:
-        inside = ytd_window(paid, cal, period, bounded=False)
-        labels = {d.name: d.kpi(cal, period) for d in spec.dimensions}
-        branches.append(Branch(inside, period, False, labels))
-        branches.append(Branch(inside, period, True, _total_labels(spec.keys, conv)))
-    rows = branch_rows(fact, branches, carry).withColumn(
-        "is_new", F.coalesce(F.when(F.col("period") == TY, F.col("new_ty")).otherwise(F.col("new_ly")), F.lit(False))
-    )
-    rows = rows.withColumns(
-        {
-            f"amt_{name}": F.when(
-                F.expr(condition), F.col("net") * F.expr(times).cast("decimal(10,0)")
-            ).otherwise(F.lit(0))
-            for name, (condition, times) in BASE_SALES.items()
-        }
-    )
-    measures = []
-    for period in PERIODS:
-        own = f"period = '{period}'"
-        counts = BASE_COUNTS | (dict(extra.counts) if period == TY else {})
-        measures += [
-            F.expr(f"count(DISTINCT {what}) FILTER (WHERE {own} AND {condition})").alias(f"{period}_{name}")
-            for name, (what, condition) in counts.items()
-        ]
-        measures += [
-            F.expr(f"sum(amt_{name}) FILTER (WHERE {own})").cast(MONEY_TOTAL).alias(f"{period}_{name}")
-            for name in BASE_SALES
-        ]
-        measures.append(F.expr(f"count_if({own})").alias(f"{period}_lines"))
-    return rows.groupBy("is_total", *spec.keys).agg(*measures)
-
-
-# (metric, expression over base columns of one period, how it is compared with last year)
-GROWTH, CHANGE = growth, share_change
-
-
-def period_metrics(period: str, whole_repurchase_share: bool) -> dict[str, tuple[Column, Callable]]:
-    """The 23 metrics of one period from its base counts."""
-
-    def c(name: str) -> Column:
-        return F.col(f"{period}_{name}")
-
-    def as_double(name: str) -> Column:
-        return c(name).cast("double")
-
-    repurchase_share = whole_ratio if whole_repurchase_share else safe_ratio
-    metrics: dict[str, tuple[Column, Callable]] = {
-        "member_shopper": (nullif_zero(c("shoppers")), GROWTH),
-        "member_sales": (as_double("sales"), GROWTH),
-        "member_atv": (safe_ratio(c("sales"), c("orders")), GROWTH),
-        "member_frequency": (safe_ratio(c("orders"), c("shoppers")), GROWTH),
+    metrics: dict[str, tuple[str, Callable]] = {
+        "member_shopper": (f"nullif({count('shoppers')}, 0)", growth),
+        "member_sales": (f"CAST({sales('member_sales')} AS DOUBLE)", growth),
+        "member_atv": (safe_ratio(sales("member_sales"), count("orders")), growth),
+        "member_frequency": (safe_ratio(count("orders"), count("shoppers")), growth),
     }
     for group, prefix in (
         ("new_member", "new"),
         ("existing_0_1_member", "first"),
         ("existing_repurchase_member", "repeat"),
     ):
-        shoppers, sales, orders = (f"{prefix}_{x}" for x in ("shoppers", "sales", "orders"))
+        own_sales = sales(f"{prefix}_sales")
+        own_shoppers, own_orders = count(f"{prefix}_shoppers"), count(f"{prefix}_orders")
         metrics |= {
-            f"{group}_shopper": (as_double(shoppers), GROWTH),
-            f"{group}_shopper_share": (safe_ratio(c(shoppers), c("shoppers")), CHANGE),
-            f"{group}_sales": (as_double(sales), GROWTH),
-            f"{group}_sales_share": (safe_ratio(c(sales), c("sales")), CHANGE),
-            f"{group}_atv_buying_the_line": (safe_ratio(c(sales), c(orders)), GROWTH),
+            f"{group}_shopper": (f"CAST({own_shoppers} AS DOUBLE)", growth),
+            f"{group}_shopper_share": (safe_ratio(own_shoppers, count("shoppers")), share_change),
+            f"{group}_sales": (f"CAST({own_sales} AS DOUBLE)", growth),
+            f"{group}_sales_share": (safe_ratio(own_sales, sales("member_sales")), share_change),
+            f"{group}_atv_buying_the_line": (safe_ratio(own_sales, own_orders), growth),
         }
+    buyers, initial, repurchase = count("buyers"), count("initial_buyers"), count("repurchase_buyers")
+    repurchase_share = whole_ratio if whole_repurchase_share else safe_ratio
     metrics |= {
-        "lifetime_initial_member_shopper": (c("initial_buyers"), GROWTH),
-        "lifetime_initial_member_shopper_share": (safe_ratio(c("initial_buyers"), c("buyers")), CHANGE),
-        "lifetime_repurchase_member_shopper": (c("repurchase_buyers"), GROWTH),
-        "lifetime_repurchase_member_shopper_share": (
-            repurchase_share(c("repurchase_buyers"), c("buyers")),
-            CHANGE,
-        ),
+        "lifetime_initial_member_shopper": (initial, growth),
+        "lifetime_initial_member_shopper_share": (safe_ratio(initial, buyers), share_change),
+        "lifetime_repurchase_member_shopper": (repurchase, growth),
+        "lifetime_repurchase_member_shopper_share": (repurchase_share(repurchase, buyers), share_change),
     }
     return metrics
 
 
-# -- assembly ----------------------------------------------------------------------------
-
-
-def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join on plain equality of the keys: unknown (NULL) values never match."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    same = F.lit(True)
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"_r_{k}"))
-    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
-
-
-def sales_columns(spec: ScorecardSpec) -> list[Column]:
-    """The nine sales figures from the joined sales and plan columns."""
-    sales, orders = F.col("ty_sales"), F.col("ty_orders")
-    last_sales, last_orders = F.col("ly_sales"), F.col("ly_orders")
-    atv, last_atv = safe_ratio(sales, orders), safe_ratio(last_sales, last_orders)
-    atv_change = growth(atv, last_atv)
-    return [
-        sales.alias("sales_rrp"),
-        F.col("sales_plan"),
-        safe_ratio(sales, F.col("sales_plan")).alias("sales_progress"),
-        orders.alias("transactions"),
-        atv.alias("atv"),
-        F.col("sales_rrp_share"),
-        growth(sales, last_sales).alias("sales_vs_LY"),
-        growth(orders, last_orders).alias("transactions_vs_LY"),
-        (nullif_zero(atv_change) if spec.hide_unchanged_atv else atv_change).alias("atv_vs_LY"),
-    ]
-
-
-def sales_compare(wh: Warehouse, cal: ReportCalendar, conv: Conventions, spec: ScorecardSpec) -> DataFrame:
-    """The sales half of a scorecard; keeps ``is_total``."""
-    keys = ["is_total", *spec.keys]
-    joined = join_on_keys(sales_block(wh, cal, conv, spec), plan_block(wh, cal, conv, spec), keys)
-    return joined.select(*keys, *spec.descriptions, *sales_columns(spec))
-
-
-def with_metric_columns(joined: DataFrame, spec: ScorecardSpec) -> DataFrame:
-    """Adds the 46 metric columns to rows that carry ``ty_`` / ``ly_`` base columns.
-
-    The total of the member block exists even when no line falls into a period: its counts
-    are then 0. Dimension rows without lines in a period have no figures for it.
-    """
-    filled = {}
-    for period in PERIODS:
-        present = F.coalesce(F.col(f"{period}_lines"), F.lit(0)) > 0
-        for name in BASE_COUNTS:
-            column = F.col(f"{period}_{name}")
-            empty = F.when(F.col("is_total"), F.lit(0).cast("bigint"))
-            filled[f"{period}_{name}"] = F.when(present, column).otherwise(empty)
-    joined = joined.withColumns(filled)
+def metric_figures(spec: ScorecardSpec, renamed: Mapping[str, str] = {}) -> dict[str, str]:
+    """The 46 metric columns: each metric followed by its comparison with last year."""
     this = period_metrics(TY, spec.whole_repurchase_share)
     last = period_metrics(LY, spec.whole_repurchase_share)
-    columns = {}
+    figures = {}
     for name, (value, compare) in this.items():
-        columns[name] = value
-        columns[f"{name}_vs_LY"] = compare(value, last[name][0])
-    return joined.withColumns(columns)
-
-
-def metric_names(spec: ScorecardSpec) -> list[str]:
-    return [n for m in period_metrics(TY, spec.whole_repurchase_share) for n in (m, f"{m}_vs_LY")]
+        figures[renamed.get(name, name)] = value
+        figures[f"{name}_vs_LY"] = compare(value, last[name][0])
+    return figures
+
+
+def sales_figures(spec: ScorecardSpec) -> dict[str, str]:
+    """The nine sales columns over the joined sales and plan columns."""
+    atv, last_atv = safe_ratio("ty_sales", "ty_tickets"), safe_ratio("ly_sales", "ly_tickets")
+    change = growth(atv, last_atv)
+    return {
+        "sales_rrp": "ty_sales",
+        "sales_plan": "sales_plan",
+        "sales_progress": safe_ratio("ty_sales", "sales_plan"),
+        "transactions": "ty_tickets",
+        "atv": atv,
+        "sales_rrp_share": safe_ratio("ty_sales", "all_sales"),
+        "sales_vs_LY": growth("ty_sales", "ly_sales"),
+        "transactions_vs_LY": growth("ty_tickets", "ly_tickets"),
+        "atv_vs_LY": f"nullif({change}, 0)" if spec.hide_unchanged_atv else change,
+    }
 
 
-SALES_NAMES = [
-    "sales_rrp",
-    "sales_plan",
-    "sales_progress",
-    "transactions",
-    "atv",
-    "sales_rrp_share",
-    "sales_vs_LY",
-    "transactions_vs_LY",
-    "atv_vs_LY",
-]
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on plain equality of the keys: unknown (NULL) values never match."""
+    renamed = right.withColumnsRenamed({k: f"r_{k}" for k in keys})
+    same = " AND ".join(f"{k} = r_{k}" for k in keys)
+    return left.join(renamed, F.expr(same), "left").drop(*[f"r_{k}" for k in keys])
 
 
 def scorecard(wh: Warehouse, cal: ReportCalendar, conv: Conventions, spec: ScorecardSpec) -> DataFrame:
     """The whole report of one dimension (or pair of dimensions), total row included."""
-    keys = ["is_total", *spec.keys]
-    sales = sales_compare(wh, cal, conv, spec)
-    kpis = member_kpis(member_fact(wh, cal, conv, spec), cal, conv, spec)
-    full = with_metric_columns(join_on_keys(sales, kpis, keys), spec)
-    return full.select(*spec.keys, *spec.descriptions, *SALES_NAMES, *metric_names(spec))
+    return ScorecardRun(wh, cal, conv, spec).report()

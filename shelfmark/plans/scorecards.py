@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from shelfmark.calendar import ReportCalendar
 from shelfmark.functions import segments
 from shelfmark.functions.windows import TY
@@ -15,21 +12,21 @@ _ALL_BLOCKS = frozenset({"plan", "sales", "kpi"})
 
 
 def _same(name: str, plan: str, sales: str, kpi: str) -> Dimension:
-    """A dimension that is a plain column in every block."""
+    """A dimension that has one rule per block for both years."""
     return Dimension(
         name,
-        plan=lambda cal: F.col(plan),
-        sales=lambda cal, period: F.col(sales),
-        kpi=lambda cal, period: F.col(kpi),
+        plan=lambda cal: plan,
+        sales=lambda cal, period: sales,
+        kpi=lambda cal, period: kpi,
     )
 
 
-def _attribute(name: str, column: str) -> Dimension:
-    return _same(name, column, column, column)
+def _attribute(name: str, expression: str) -> Dimension:
+    return _same(name, expression, expression, expression)
 
 
 LINE = _same("product_line", "p_product_line", "product_line", "product_line")
-AGE_BAND = _attribute("age_band", "a_age_band")
+AGE_BAND = _attribute("age_band", segments.age_band("a_min_age"))
 PRICE_BAND = _attribute("price_band", "a_price_band")
 
 
@@ -38,15 +35,15 @@ def _cutoff(cal: ReportCalendar, period: str):
 
 
 def _novelty_by_cutoff(launch: str):
-    def rule(cal: ReportCalendar, period: str) -> Column:
-        return segments.novelty_since(F.col(launch), _cutoff(cal, period))
+    def rule(cal: ReportCalendar, period: str) -> str:
+        return segments.novelty_since(launch, _cutoff(cal, period))
 
     return rule
 
 
 NOVELTY = Dimension(
     "novelty",
-    plan=lambda cal: segments.novelty_since(F.col("p_store_launch_date"), cal.novelty_cutoff_ty),
+    plan=lambda cal: segments.novelty_since("p_store_launch_date", cal.novelty_cutoff_ty),
     sales=_novelty_by_cutoff("bu_launch_date"),
     kpi=_novelty_by_cutoff("a_bu_launch_date"),
 )
@@ -55,20 +52,20 @@ NOVELTY = Dimension(
 # sales by store launch, this year's members by launch year; last year as above.
 NOVELTY_NEXT_TO_LINE = Dimension(
     "novelty",
-    plan=lambda cal: segments.novelty_in_year(F.col("p_store_launch_date"), cal.year),
+    plan=lambda cal: segments.novelty_in_year("p_store_launch_date", cal.year),
     sales=lambda cal, period: segments.novelty_since(
-        F.col("store_launch_date" if period == TY else "bu_launch_date"), _cutoff(cal, period)
+        "store_launch_date" if period == TY else "bu_launch_date", _cutoff(cal, period)
     ),
     kpi=lambda cal, period: (
-        segments.novelty_in_year(F.col("a_bu_launch_date"), cal.year)
+        segments.novelty_in_year("a_bu_launch_date", cal.year)
         if period == TY
-        else segments.novelty_since(F.col("a_bu_launch_date"), cal.novelty_cutoff_ly)
+        else segments.novelty_since("a_bu_launch_date", cal.novelty_cutoff_ly)
     ),
 )
 
 
-def _segment(*_) -> Column:
-    return segments.audience_segment(F.col("a_min_age"))
+def _segment(*_) -> str:
+    return segments.audience_segment("a_min_age")
 
 
 SEGMENT = Dimension("segment", plan=_segment, sales=_segment, kpi=_segment)
@@ -134,10 +131,10 @@ STORE_BY_LINE_SKU = ScorecardSpec(
     sku_base=products.RATED_AND_SELLING,
     sku_blocks=frozenset({"sales"}),
     descriptions={
-        "sku_name": lambda cal: F.col("sku_name"),
-        "novelty": lambda cal: segments.novelty_in_year(F.col("bu_launch_date"), cal.year),
-        "age_band": lambda cal: F.col("a_age_band"),
-        "price_band": lambda cal: F.col("a_price_band"),
+        "sku_name": lambda cal: "sku_name",
+        "novelty": lambda cal: segments.novelty_in_year("bu_launch_date", cal.year),
+        "age_band": lambda cal: segments.age_band("a_min_age"),
+        "price_band": lambda cal: "a_price_band",
     },
     bound_rows=False,
     bound_total=False,

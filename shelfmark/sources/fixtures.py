@@ -10,9 +10,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from shelfmark.calendar import ReportCalendar
 from shelfmark.functions import segments
@@ -23,260 +22,217 @@ FIXTURE_CALENDAR = ReportCalendar.for_date(
     novelty_cutoff_ly=dt.date(1999, 12, 27),
 )
 
+# The columns of each derived table as expressions over the Parquet tables.
+_BU_LAUNCH = """CASE WHEN p_partkey % 13 = 0 THEN NULL
+  WHEN p_partkey % 4 = 0 THEN date_add(DATE'2000-12-20', CAST(p_partkey % 180 AS INT))
+  WHEN p_partkey % 4 = 1 THEN date_add(DATE'1999-12-20', CAST(p_partkey % 180 AS INT))
+  ELSE date_add(DATE'1996-01-01', CAST(p_partkey % 900 AS INT)) END"""
+
+PRODUCT = {
+    "sku_id": "CAST(p_partkey AS STRING)",
+    "sku_name": "concat('SKU ', p_name)",
+    "product_line": "CASE WHEN p_partkey % 97 <> 0 THEN p_brand END",
+    "age_mark": """CASE WHEN p_size % 10 = 0 THEN NULL WHEN p_size % 10 = 1 THEN '1 1/2'
+      WHEN p_size % 10 = 2 THEN 'all ages' WHEN p_size < 6 THEN concat(p_size, ' 1/2+')
+      WHEN p_size < 20 THEN concat(p_size, '+') ELSE concat(' ', p_size, '-99 ') END""",
+    "rsp": "CAST((p_retailprice - 900) * 12 AS DECIMAL(18,2))",
+    "bu_launch_date": _BU_LAUNCH,
+    "store_launch_date": f"date_add({_BU_LAUNCH}, 14)",
+}
+
+ORDER_LINES = {
+    "order_paid_date": "o_orderdate",
+    "order_paid_time": "o_orderdate + make_dt_interval(0, 0, 0, l_orderkey % 86400)",
+    "type_name": "CASE o_custkey % 4 WHEN 0 THEN 'CRM' WHEN 1 THEN 'DY' WHEN 2 THEN 'TM' ELSE 'ANON' END",
+    "type_value": "concat('ext-', o_custkey)",
+    "parent_order_id": "CAST(l_orderkey AS STRING)",
+    "sku_id": "CAST(l_partkey AS STRING)",
+    "sales_qty": "CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END",
+    "is_effective": "l_returnflag <> 'R'",
+    "is_member_order": "o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')",
+    "order_amt": "CAST(l_extendedprice AS DECIMAL(18,2))",
+    "source_channel": """CASE WHEN o_orderkey % 10 = 9 THEN 'OTHER'
+      WHEN o_orderstatus IN ('F', 'P') THEN 'STORE' WHEN o_orderkey % 2 = 0 THEN 'WEB_A' ELSE 'WEB_B' END""",
+    "sales_type": "CASE WHEN l_linenumber = 7 THEN 3 ELSE 1 END",
+    "order_type": "CASE WHEN l_linenumber = 6 THEN 'refund' ELSE 'normal' END",
+    "city_tier": "CASE WHEN n_nationkey % 7 <> 0 THEN concat('Tier ', 1 + n_nationkey % 6) END",
+    "city": "n_name",
+    "member_ref": "CAST(o_custkey AS STRING)",
+}
+
+STORE_SALES = {
+    "date_id": "date_format(order_paid_date, 'yyyy-MM-dd')",
+    "sale_date": "CAST(order_paid_date AS DATE)",
+}
+
+_BIRTHDAY = """CASE WHEN c_custkey % 11 <> 0
+  THEN date_add(DATE'1940-01-01', CAST(c_custkey * 97 % 21900 AS INT)) END"""
+
+MEMBER = {
+    "member_detail_id": "CAST(100000 + c_custkey AS STRING)",
+    "join_time": "CAST(date_add(DATE'1999-07-01', CAST(c_custkey * 7 % 731 AS INT)) AS TIMESTAMP_NTZ)",
+    "reg_channel": "CASE WHEN c_custkey % 3 <> 0 THEN 'STORE-APP' ELSE 'WEB' END",
+    "tier_code": "c_mktsegment",
+    "gender": "CAST(CASE WHEN c_custkey % 4 <> 3 THEN c_custkey % 4 END AS INT)",
+    "birthday": _BIRTHDAY,
+    "beneficiary_birthday": f"CASE WHEN c_custkey % 2 = 0 THEN {_BIRTHDAY} END",
+    "has_kid": "CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END",
+}
+
+BIRTHDAY_HISTORY = {
+    "member_detail_id": "CAST(100000 + c_custkey AS STRING)",
+    "birthday_year": "CAST(CASE WHEN c_custkey % 3 = 0 THEN 1980 + c_custkey % 21 ELSE 1970 END AS INT)",
+    "person_type": "CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END",
+}
+
+SKU_PLAN = {
+    "sku_id": "CAST(p_partkey AS STRING)",
+    "plan_year": "2001",
+    "plan_month": "plan_month",
+    "plan_qty": "CAST(1 + (p_partkey * plan_month) % 20 AS BIGINT)",
+    "review_channel": "CASE WHEN p_partkey % 3 = 0 THEN 'WEB' ELSE 'STORE,WEB' END",
+    "plan_version": "CASE WHEN p_partkey % 10 = 1 THEN 'DP02' ELSE 'DP03' END",
+}
+
+CITY_TYPE = {
+    "city": "n_name",
+    "city_type": "CASE n_regionkey WHEN 0 THEN '1_mature' WHEN 1 THEN '2_core' ELSE '3_uprising' END",
+}
+
+PROFILE_EVENTS = {
+    "profile_id": "user_id",
+    "prop_key": "event_type",
+    "prop_value": "CASE WHEN value < 50 THEN 'yes' ELSE 'no' END",
+    "update_time": "ts",
+    "event_id": "event_id",
+}
+
 # The two similarity snapshots.
-SNAPSHOT_NEW = dt.date(2001, 6, 30)
-SNAPSHOT_OLD = dt.date(2001, 6, 1)
+SNAPSHOT_NEW, SNAPSHOT_OLD = "DATE'2001-06-30'", "DATE'2001-06-01'"
+
 
-_PRODUCT_DERIVED = {"product_line", "sku_name", "bu_launch_date", "store_launch_date"}
-_CITY_DERIVED = {"city", "city_tier"}
+def _pick(made: dict[str, str], columns: Sequence[str]) -> list[str]:
+    return [f"{made[c]} AS {c}" if c in made else c for c in columns]
 
 
 class FixtureWarehouse:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def table(self, name: str, columns: Sequence[str]) -> DataFrame:
-        build = getattr(self, f"_{name}", None)
-        if build is None:
-            raise KeyError(name)
-        return build(set(columns)).select(*columns)
+        return getattr(self, f"_{name}")(list(columns))
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-
-    # -- products -------------------------------------------------------------------
-
-    def _product(self, columns: set[str] = frozenset()) -> DataFrame:
-        key = F.col("p_partkey")
-        bu_launch = (
-            F.when(key % 13 == 0, F.lit(None).cast("date"))
-            .when(key % 4 == 0, _days_after(dt.date(2000, 12, 20), key % 180))
-            .when(key % 4 == 1, _days_after(dt.date(1999, 12, 20), key % 180))
-            .otherwise(_days_after(dt.date(1996, 1, 1), key % 900))
-        )
-        size = F.col("p_size")
-        age_mark = (
-            F.when(size % 10 == 0, F.lit(None).cast("string"))
-            .when(size % 10 == 1, F.lit("1 1/2"))
-            .when(size % 10 == 2, F.lit("all ages"))
-            .when(size < 6, F.concat(size.cast("string"), F.lit(" 1/2+")))
-            .when(size < 20, F.concat(size.cast("string"), F.lit("+")))
-            .otherwise(F.concat(F.lit(" "), size.cast("string"), F.lit("-99 ")))
-        )
-        return self._read("part").select(
-            key.cast("string").alias("sku_id"),
-            F.concat(F.lit("SKU "), F.col("p_name")).alias("sku_name"),
-            F.when(key % 97 != 0, F.col("p_brand")).alias("product_line"),
-            age_mark.alias("age_mark"),
-            ((F.col("p_retailprice") - 900) * 12).cast("decimal(18,2)").alias("rsp"),
-            bu_launch.alias("bu_launch_date"),
-            F.date_add(bu_launch, 14).alias("store_launch_date"),
-        )
-
-    def _sku_plan(self, columns: set[str]) -> DataFrame:
-        key, month = F.col("p_partkey"), F.col("plan_month")
-        months = F.explode(F.sequence(F.lit(1), F.lit(12)))
-        return (
-            self._read("part")
-            .select("p_partkey", months.alias("plan_month"))
-            .select(
-                key.cast("string").alias("sku_id"),
-                F.lit(2001).alias("plan_year"),
-                month,
-                (1 + (key * month) % 20).cast("bigint").alias("plan_qty"),
-                F.when(key % 3 == 0, F.lit("WEB")).otherwise(F.lit("STORE,WEB")).alias("review_channel"),
-                F.when(key % 10 == 1, F.lit("DP02")).otherwise(F.lit("DP03")).alias("plan_version"),
-            )
-        )
-
-    # -- orders ---------------------------------------------------------------------
-
-    def _order_lines(self, columns: set[str]) -> DataFrame:
-        orders, lines = self._read("orders"), self._read("lineitem")
-        base = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        derived = columns & _PRODUCT_DERIVED
-        if derived:
-            product = self._product().select(F.col("sku_id").alias("_sku"), *derived)
-            base = base.join(product, F.col("l_partkey").cast("string") == F.col("_sku"), "left")
-        if columns & _CITY_DERIVED:
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
+
+    def _product(self, columns: Sequence[str]) -> DataFrame:
+        return self._read("part").selectExpr(*_pick(PRODUCT, columns))
+
+    def _sku_plan(self, columns: Sequence[str]) -> DataFrame:
+        months = self._read("part").selectExpr("p_partkey", "explode(sequence(1, 12)) AS plan_month")
+        return months.selectExpr(*_pick(SKU_PLAN, columns))
+
+    def _order_lines(self, columns: Sequence[str]) -> DataFrame:
+        lines, orders = self._read("lineitem"), self._read("orders")
+        base = lines.join(orders, F.expr("l_orderkey = o_orderkey"))
+        from_product = [c for c in columns if c in PRODUCT and c not in ORDER_LINES]
+        if from_product:
+            product = self._product(["sku_id", *from_product]).withColumnRenamed("sku_id", "p_sku")
+            base = base.join(product, F.expr("CAST(l_partkey AS STRING) = p_sku"), "left")
+        if "city" in columns or "city_tier" in columns:
             customer = self._read("customer").select("c_custkey", "c_nationkey")
             nation = self._read("nation").select("n_nationkey", "n_name")
-            base = base.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").join(
-                nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
+            base = base.join(customer, F.expr("o_custkey = c_custkey"), "left").join(
+                nation, F.expr("c_nationkey = n_nationkey"), "left"
             )
-        made = {
-            "order_paid_date": F.col("o_orderdate"),
-            "order_paid_time": F.col("o_orderdate")
-            + F.make_dt_interval(secs=(F.col("l_orderkey") % 86400).cast("decimal(18,6)")),
-            "type_name": F.element_at(
-                F.array(*map(F.lit, ("CRM", "DY", "TM", "ANON"))),
-                (F.col("o_custkey") % 4 + 1).cast("int"),
-            ),
-            "type_value": F.concat(F.lit("ext-"), F.col("o_custkey").cast("string")),
-            "parent_order_id": F.col("l_orderkey").cast("string"),
-            "sku_id": F.col("l_partkey").cast("string"),
-            "sales_qty": F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(
-                F.col("l_quantity")
-            ),
-            "is_effective": F.col("l_returnflag") != "R",
-            "is_member_order": F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM"),
-            "order_amt": F.col("l_extendedprice").cast("decimal(18,2)"),
-            "source_channel": F.when(F.col("o_orderkey") % 10 == 9, F.lit("OTHER"))
-            .when(F.col("o_orderstatus").isin("F", "P"), F.lit("STORE"))
-            .when(F.col("o_orderkey") % 2 == 0, F.lit("WEB_A"))
-            .otherwise(F.lit("WEB_B")),
-            "sales_type": F.when(F.col("l_linenumber") == 7, F.lit(3)).otherwise(F.lit(1)),
-            "order_type": F.when(F.col("l_linenumber") == 6, F.lit("refund")).otherwise(F.lit("normal")),
-            "city_tier": F.when(
-                F.col("n_nationkey") % 7 != 0,
-                F.concat(F.lit("Tier "), (1 + F.col("n_nationkey") % 6).cast("string")),
-            ),
-            "city": F.col("n_name"),
-            "member_ref": F.col("o_custkey").cast("string"),
-        }
-        wanted = [made[c].alias(c) if c in made else F.col(c) for c in sorted(columns)]
-        return base.select(*wanted)
-
-    def _store_sales(self, columns: set[str]) -> DataFrame:
-        kept = (columns - {"date_id", "sale_date"}) | {"order_paid_date", "source_channel", "sales_type"}
-        return (
-            self._order_lines(kept)
-            .filter((F.col("source_channel") == "STORE") & (F.col("sales_type") != 3))
-            .withColumn("sale_date", F.col("order_paid_date").cast("date"))
-            .withColumn("date_id", F.date_format("order_paid_date", "yyyy-MM-dd"))
-        )
-
-    # -- members --------------------------------------------------------------------
-
-    def _member_customers(self) -> DataFrame:
-        return self._read("customer").filter(F.col("c_custkey") % 10 != 0)
+        return base.selectExpr(*_pick(ORDER_LINES, columns))
 
-    def _member_bridge(self, columns: set[str]) -> DataFrame:
-        return self._member_customers().select(
-            (100000 + F.col("c_custkey")).alias("id"),
-            F.col("c_custkey").cast("string").alias("member_id"),
+    def _store_sales(self, columns: Sequence[str]) -> DataFrame:
+        kept = [c for c in columns if c not in STORE_SALES]
+        lines = self._order_lines([*kept, "order_paid_date", "source_channel", "sales_type"])
+        return lines.filter("source_channel = 'STORE' AND sales_type <> 3").selectExpr(
+            *_pick(STORE_SALES, columns)
         )
 
-    def _member(self, columns: set[str]) -> DataFrame:
-        key = F.col("c_custkey")
-        birthday = F.when(key % 11 != 0, _days_after(dt.date(1940, 1, 1), key * 97 % 21900))
-        return self._member_customers().select(
-            (100000 + key).cast("string").alias("member_detail_id"),
-            _days_after(dt.date(1999, 7, 1), key * 7 % 731).cast("timestamp_ntz").alias("join_time"),
-            F.when(key % 3 != 0, F.lit("STORE-APP")).otherwise(F.lit("WEB")).alias("reg_channel"),
-            F.col("c_mktsegment").alias("tier_code"),
-            F.when(key % 4 != 3, key % 4).cast("int").alias("gender"),
-            birthday.alias("birthday"),
-            F.when(key % 2 == 0, birthday).alias("beneficiary_birthday"),
-            F.when(key % 5 == 0, F.lit(1)).otherwise(F.lit(0)).alias("has_kid"),
-        )
-
-    def _birthday_history(self, columns: set[str]) -> DataFrame:
-        key = F.col("c_custkey")
-        is_kid = key % 3 == 0
-        return self._member_customers().filter(key % 3 != 2).select(
-            (100000 + key).cast("string").alias("member_detail_id"),
-            F.when(is_kid, 1980 + key % 21).otherwise(F.lit(1970)).cast("int").alias("birthday_year"),
-            F.when(is_kid, F.lit(2)).otherwise(F.lit(1)).alias("person_type"),
-        )
-
-    # -- stores ---------------------------------------------------------------------
-
-    def _store(self, columns: set[str]) -> DataFrame:
-        nation = self._read("nation").filter(F.col("n_nationkey") % 8 != 5)
-        return (
-            self._read("supplier")
-            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(F.col("n_name").alias("city"))
-            .distinct()
-        )
-
-    def _city_type(self, columns: set[str]) -> DataFrame:
-        maturity = (
-            F.when(F.col("n_regionkey") == 0, F.lit("1_mature"))
-            .when(F.col("n_regionkey") == 1, F.lit("2_core"))
-            .when(F.col("n_regionkey") == 2, F.lit("3_uprising"))
-        )
-        return (
-            self._read("nation")
-            .filter(F.col("n_regionkey").isin(0, 1, 2))
-            .select(F.col("n_name").alias("city"), maturity.alias("city_type"))
-        )
-
-    # -- similarity snapshots ---------------------------------------------------------
-
-    def _line_similarity(self, columns: set[str]) -> DataFrame:
-        sales = self._store_sales({"parent_order_id", "product_line"})
-        return _similarity(sales, "product_line", "line1", "line2")
-
-    def _line_age_similarity(self, columns: set[str]) -> DataFrame:
-        rated = self._product().filter(segments.is_rated(F.col("age_mark")))
-        labels = rated.select(
-            F.col("sku_id").alias("_sku"),
-            F.concat_ws(" ", "product_line", segments.age_band(segments.min_age(F.col("age_mark")))).alias(
-                "label"
-            ),
-            "product_line",
-        ).filter(F.col("product_line").isNotNull())
-        sales = self._store_sales({"parent_order_id", "sku_id"}).join(
-            labels, F.col("sku_id") == F.col("_sku")
-        )
-        return _similarity(sales, "label", "line_age1", "line_age2")
-
-    # -- key/value profile events -----------------------------------------------------
+    def _member_bridge(self, columns: Sequence[str]) -> DataFrame:
+        made = {"id": "100000 + c_custkey", "member_id": "CAST(c_custkey AS STRING)"}
+        return self._member_customers().selectExpr(*_pick(made, columns))
 
-    def _profile_events(self, columns: set[str]) -> DataFrame:
-        return self._read("events").select(
-            F.col("user_id").alias("profile_id"),
-            F.col("event_type").alias("prop_key"),
-            F.when(F.col("value") < 50, F.lit("yes")).otherwise(F.lit("no")).alias("prop_value"),
-            F.col("ts").alias("update_time"),
-            F.col("event_id"),
+    def _member_customers(self) -> DataFrame:
+        return self._read("customer").filter("c_custkey % 10 <> 0")
+
+    def _member(self, columns: Sequence[str]) -> DataFrame:
+        return self._member_customers().selectExpr(*_pick(MEMBER, columns))
+
+    def _birthday_history(self, columns: Sequence[str]) -> DataFrame:
+        related = self._member_customers().filter("c_custkey % 3 <> 2")
+        return related.selectExpr(*_pick(BIRTHDAY_HISTORY, columns))
+
+    def _store(self, columns: Sequence[str]) -> DataFrame:
+        nation = self._read("nation").filter("n_nationkey % 8 <> 5")
+        located = self._read("supplier").join(nation, F.expr("s_nationkey = n_nationkey"))
+        return located.selectExpr("n_name AS city").distinct()
+
+    def _city_type(self, columns: Sequence[str]) -> DataFrame:
+        return self._read("nation").filter("n_regionkey IN (0, 1, 2)").selectExpr(*_pick(CITY_TYPE, columns))
+
+    def _line_similarity(self, columns: Sequence[str]) -> DataFrame:
+        sales = self._store_sales(["parent_order_id", "product_line"])
+        items = sales.selectExpr("parent_order_id", "product_line AS item").filter("item IS NOT NULL")
+        return _similarity(items, "line1", "line2").select(*columns)
+
+    def _line_age_similarity(self, columns: Sequence[str]) -> DataFrame:
+        label = f"product_line || ' ' || {segments.age_band(segments.min_age('age_mark'))}"
+        labels = (
+            self._product(["sku_id", "product_line", "age_mark"])
+            .filter(segments.is_rated("age_mark"))
+            .selectExpr("sku_id", f"{label} AS item")
+            .filter("item IS NOT NULL")
         )
+        items = self._store_sales(["parent_order_id", "sku_id"]).join(labels, "sku_id")
+        return _similarity(items, "line_age1", "line_age2").select(*columns)
 
-
-def _days_after(start: dt.date, days: Column) -> Column:
-    return F.date_add(F.lit(start), days.cast("int"))
+    def _profile_events(self, columns: Sequence[str]) -> DataFrame:
+        return self._read("events").selectExpr(*_pick(PROFILE_EVENTS, columns))
 
 
-def _similarity(sales: DataFrame, item: str, left: str, right: str) -> DataFrame:
+def _similarity(sales: DataFrame, left: str, right: str) -> DataFrame:
     """Cosine of shared orders for every pair of items, ranked, in two dated snapshots.
 
     Orders with the same set of items are counted first, so pairs are made once per distinct
     set rather than once per order.
     """
     patterns = (
-        sales.filter(F.col(item).isNotNull())
-        .groupBy("parent_order_id")
-        .agg(F.array_sort(F.collect_set(item)).alias("items"))
+        sales.groupBy("parent_order_id")
+        .agg(F.expr("array_sort(collect_set(item)) AS items"))
         .groupBy("items")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(*) AS n"))
     )
     pairs = (
-        patterns.select(F.explode("items").alias("a"), "items", "n")
-        .select("a", F.explode("items").alias("b"), "n")
+        patterns.selectExpr("explode(items) AS a", "items", "n")
+        .selectExpr("a", "explode(items) AS b", "n")
         .groupBy("a", "b")
-        .agg(F.sum("n").alias("shared"))
+        .agg(F.expr("sum(n) AS shared"))
     )
-    own = pairs.filter(F.col("a") == F.col("b")).select(F.col("a").alias("item"), F.col("shared").alias("n"))
+    own = pairs.filter("a = b").selectExpr("a AS item", "shared AS orders")
     scored = (
-        pairs.filter(F.col("a") != F.col("b"))
-        .join(own.select(F.col("item").alias("a"), F.col("n").alias("na")), "a")
-        .join(own.select(F.col("item").alias("b"), F.col("n").alias("nb")), "b")
-        .withColumn("cosine_similarity", F.col("shared") / F.sqrt((F.col("na") * F.col("nb")).cast("double")))
+        pairs.filter("a <> b")
+        .join(own.selectExpr("item AS a", "orders AS orders_a"), "a")
+        .join(own.selectExpr("item AS b", "orders AS orders_b"), "b")
+        .selectExpr("a", "b", "shared / sqrt(CAST(orders_a * orders_b AS DOUBLE)) AS cosine_similarity")
     )
-    best_first = Window.partitionBy("a").orderBy(F.desc("cosine_similarity"), "b")
-    best_last = Window.partitionBy("a").orderBy("cosine_similarity", F.desc("b"))
-    ranked = scored.withColumn("new_rank", F.row_number().over(best_first)).withColumn(
-        "old_rank", F.row_number().over(best_last)
-    )
-    snapshots = F.explode(
-        F.array(
-            F.struct(F.col("new_rank").alias("rank"), F.lit(SNAPSHOT_NEW).alias("update_date")),
-            F.struct(F.col("old_rank").alias("rank"), F.lit(SNAPSHOT_OLD).alias("update_date")),
-        )
+    return scored.selectExpr(
+        "*",
+        "row_number() OVER (PARTITION BY a ORDER BY cosine_similarity DESC, b) AS new_rank",
+        "row_number() OVER (PARTITION BY a ORDER BY cosine_similarity, b DESC) AS old_rank",
+    ).selectExpr(
+        f"a AS {left}",
+        f"b AS {right}",
+        "cosine_similarity",
+        f"inline(array(named_struct('rank', new_rank, 'update_date', {SNAPSHOT_NEW}),"
+        f" named_struct('rank', old_rank, 'update_date', {SNAPSHOT_OLD})))",
     )
-    return ranked.select(
-        F.col("a").alias(left), F.col("b").alias(right), "cosine_similarity", snapshots.alias("s")
-    ).select(left, right, "cosine_similarity", "s.rank", "s.update_date")

@@ -93,5 +93,5 @@ def latest_snapshot(df: DataFrame, date_col: str, by: DataFrame | None = None) -
     The date is an uncorrelated scalar subquery, evaluated once on the executors.
     """
     source = df if by is None else by
-    newest = source.agg(F.max(date_col).alias("newest")).scalar()
+    newest = source.agg(F.max(date_col)).scalar()
     return df.filter(F.col(date_col) == newest)
