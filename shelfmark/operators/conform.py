@@ -53,14 +53,15 @@ def attach_member_bridge(lines: DataFrame, bridge: DataFrame) -> DataFrame:
 
 
 def city_maturity(wh: Warehouse) -> DataFrame:
-    """Distinct (city, maturity) of the cities that have a store."""
+    """Distinct (city, maturity) of the cities that have a store.
+
+    A city without a store and a store city without a maturity look the same to the caller
+    (no maturity known), so a semi join is enough. It keeps the estimated size at that of the
+    city list, by which Catalyst decides whether to broadcast it to the order lines.
+    """
     kinds = wh.table("city_type", ["city", "city_type"])
-    return (
-        wh.table("store", ["city"])
-        .join(kinds, "city", "left")
-        .selectExpr("city AS store_city", "city_type AS known_maturity")
-        .distinct()
-    )
+    located = kinds.join(wh.table("store", ["city"]), "city", "left_semi")
+    return located.selectExpr("city AS store_city", "city_type AS known_maturity").distinct()
 
 
 def attach_city_maturity(lines: DataFrame, wh: Warehouse) -> DataFrame:

@@ -156,7 +156,8 @@ def top_previous_lines(histories: DataFrame, k: int = 4) -> DataFrame:
 
 def _ranked(pairs: DataFrame, key: str, line: str, k: int) -> DataFrame:
     best = f"row_number() OVER (PARTITION BY {key} ORDER BY members DESC, {line} ASC NULLS LAST) AS rk"
-    return pairs.selectExpr("*", best).filter(f"rk <= {k}")
+    ranked = pairs.selectExpr("*", best).filter(f"rk <= {k}")
+    return ranked.selectExpr(key, line, "members", "CAST(rk AS BIGINT) AS rk")
 
 
 def line_ranks(ranked: DataFrame, key: str, line: str, prefix: str, k: int = 4) -> DataFrame:

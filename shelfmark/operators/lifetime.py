@@ -1,8 +1,8 @@
 """Lifetime order ranks, first orders and gaps between purchases.
 
-Ranks order a member's orders by first payment. Ties are broken by ``md5(order id)``, then
-the id: an arbitrary but fixed choice whose leading digits also cut equal instants into
-evenly sized, correctly ordered slots, so that no member has to be ranked in one task.
+Ranks order a member's orders by first payment. Ties are broken by the first eight digits of
+``md5(order id)``, then the id: an arbitrary but fixed choice that also cuts equal instants
+into evenly sized, correctly ordered slots, so that no member has to be ranked in one task.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+TIE = "substring(md5(parent_order_id), 1, 8)"
 SLOT_DIGITS = 3  # 4,096 slots per instant
 
 
@@ -36,7 +37,7 @@ def order_rank_flags(entries: DataFrame, items: tuple[str, ...] = ()) -> DataFra
     unidentified members) owning a large share of all orders costs no more than any other.
     """
     earliest = (
-        "named_struct('paid', first_paid_time, 'tie', md5(parent_order_id), 'order_id', parent_order_id)"
+        f"named_struct('paid', first_paid_time, 'tie', {TIE}, 'order_id', parent_order_id)"
     )
     spread = [f"{how}_{i}" for i in items for how in ("min", "max")]
     own = "".join(f", '{c}', {c}" for c in spread)
@@ -88,8 +89,8 @@ def lifetime_order_rank(entries: DataFrame) -> DataFrame:
         "member_id",
         "first_paid_time",
         "date_trunc('HOUR', first_paid_time) AS hour",
-        "md5(parent_order_id) AS tie",
-        f"substring(md5(parent_order_id), 1, {SLOT_DIGITS}) AS slot",
+        f"{TIE} AS tie",
+        f"substring({TIE}, 1, {SLOT_DIGITS}) AS slot",
     )
     cell = ["member_id", "hour", "first_paid_time", "slot"]
     cells = (

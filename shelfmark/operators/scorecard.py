@@ -187,10 +187,12 @@ class ScorecardRun:
         # Described rows: every description of this year meets every one of last year that
         # has the same key. A key has a handful of descriptions (names of one SKU), so the
         # two short lists are gathered per key instead of joining the aggregate with itself.
+        # Rows with an unknown key meet nothing and stay in groups of their own.
         this = f"struct({', '.join(spec.descriptions)}, ty_sales, ty_tickets)"
         last = "struct(ly_sales, ly_tickets)"
+        alone = f"CASE WHEN NOT ({known}) THEN struct({', '.join(spec.descriptions)}) END"
         return (
-            counted.groupBy("is_total", *spec.keys)
+            counted.groupBy("is_total", *spec.keys, F.expr(alone).alias("alone"))
             .agg(
                 F.expr(f"collect_list(CASE WHEN ty_rows > 0 THEN {this} END) AS this"),
                 F.expr(f"collect_list(CASE WHEN ly_rows > 0 THEN {last} END) AS last"),
