@@ -58,6 +58,8 @@ class ScorecardSpec:
     sku_blocks: frozenset[str] = frozenset()
     # Descriptive columns reported next to the keys, from the sales block.
     descriptions: Mapping[str, Callable[[ReportCalendar], str]] = field(default_factory=dict)
+    # Rows of the report grow with the assortment (SKUs) rather than with lines and bands.
+    many_rows: bool = False
     # Whether this year's sales stop at ``as_of``, for dimension rows and for the total.
     bound_rows: bool = True
     bound_total: bool = True
@@ -164,13 +166,22 @@ class ScorecardRun:
         counted = (
             branch_rows(lines, branches, carry).groupBy("is_total", *names).agg(*map(F.expr, aggregates))
         )
-        share_key = next(d for d in spec.dimensions if d.name == spec.share_key).sales(cal, TY)
-        all_sales = (
-            lines.filter(f"{ytd_window('sale_date', cal, TY, spec.bound_rows)} AND ({share_key}) IS NOT NULL")
-            .agg(F.expr(f"sum({signed_amount()})"))
-            .scalar()
-        )
-        return self._compare_years(counted).withColumn("all_sales", all_sales)
+        return self._with_all_sales(self._compare_years(counted), lines)
+
+    def _with_all_sales(self, compared: DataFrame, lines: DataFrame) -> DataFrame:
+        """Adds this year's sales over all rows with a known ``share_key``.
+
+        Reports by lines and bands have few rows, so a window over them is cheapest; a report
+        by SKU must not pass through one task and sums its lines in a scalar subquery.
+        """
+        spec = self.spec
+        if not spec.many_rows:
+            counts = f"NOT is_total AND {spec.share_key} IS NOT NULL"
+            return compared.selectExpr("*", f"sum(CASE WHEN {counts} THEN ty_sales END) OVER () AS all_sales")
+        key = next(d for d in spec.dimensions if d.name == spec.share_key).sales(self.cal, TY)
+        window = ytd_window("sale_date", self.cal, TY, spec.bound_rows)
+        summed = lines.filter(f"{window} AND ({key}) IS NOT NULL").agg(F.expr(f"sum({signed_amount()})"))
+        return compared.withColumn("all_sales", summed.scalar())
 
     def _compare_years(self, counted: DataFrame) -> DataFrame:
         spec = self.spec
@@ -279,25 +290,29 @@ class ScorecardRun:
             "coalesce(n_repeat, 0) AS n_repeat",
             *extra.line_columns,
         ]
-        aggregates = []
-        for period in PERIODS:
-            own = f"period = '{period}'"
-            counts = BASE_COUNTS | (dict(extra.counts) if period == TY else {})
-            aggregates += [
-                f"count(DISTINCT {what}) FILTER (WHERE {own} AND {condition}) AS {period}_{name}"
-                for name, (what, condition) in counts.items()
-            ]
-            aggregates += [
-                f"CAST(sum(CASE WHEN {condition} THEN net * CAST({times} AS DECIMAL(10,0)) ELSE 0 END)"
-                f" FILTER (WHERE {own}) AS {MONEY_TOTAL}) AS {period}_{name}"
-                for name, (condition, times) in BASE_SALES.items()
-            ]
-            aggregates.append(f"count_if({own}) AS {period}_lines")
-        return (
+        counts = {
+            n: f"count(DISTINCT {what}) FILTER (WHERE {condition})"
+            for n, (what, condition) in {**BASE_COUNTS, **extra.counts}.items()
+        }
+        sales = {
+            n: f"CAST(sum(CASE WHEN {condition} THEN net * CAST({times} AS DECIMAL(10,0)) ELSE 0 END)"
+            f" AS {MONEY_TOTAL})"
+            for n, (condition, times) in BASE_SALES.items()
+        }
+        measures = {**counts, **sales, "lines": "count(*)"}
+        by_period = (
             branch_rows(fact, branches, carry)
-            .groupBy("is_total", *spec.keys)
-            .agg(*map(F.expr, aggregates))
+            .groupBy("period", "is_total", *spec.keys)
+            .agg(*[F.expr(f"{e} AS {n}") for n, e in measures.items()])
         )
+        # Lay the two periods side by side; there is one row per period and key by now.
+        sides = [
+            f"max({n}) FILTER (WHERE period = '{p}') AS {p}_{n}"
+            for p in PERIODS
+            for n in measures
+            if p == TY or n not in extra.counts
+        ]
+        return by_period.groupBy("is_total", *spec.keys).agg(*map(F.expr, sides))
 
     # -- assembly ------------------------------------------------------------------------
 
