@@ -30,7 +30,8 @@ def member_lines(valid: DataFrame, ranks: DataFrame, this_year: str) -> DataFram
     """One row per (member, line).
 
     ``initial``: bought this year in someone's first order; ``repeated_at``: highest rank of
-    this year's orders that are a repeat; ``first_at``: lowest rank of any order.
+    this year's orders that are a repeat, ``repeated_from`` the lowest (an order shared by
+    several members has several ranks); ``first_at``: lowest rank of any order.
     """
     per_order = valid.groupBy("parent_order_id", "member_id", "product_line").agg(
         F.expr(f"max({this_year}) AS recent")
@@ -39,13 +40,14 @@ def member_lines(valid: DataFrame, ranks: DataFrame, this_year: str) -> DataFram
     return joined.groupBy("member_id", "product_line").agg(
         F.expr("coalesce(max(recent AND min_rk = 1), false) AS initial"),
         F.expr("max(max_rk) FILTER (WHERE recent AND max_rk >= 2) AS repeated_at"),
+        F.expr("min(min_rk) FILTER (WHERE recent AND max_rk >= 2) AS repeated_from"),
         F.expr("min(min_rk) AS first_at"),
     )
 
 
 def member_journeys(lines: DataFrame) -> DataFrame:
-    """One row per member: ``lines`` as (line, initial, repeated_at, first_at)."""
-    entry = "struct(product_line AS line, initial, repeated_at, first_at)"
+    """One row per member: ``lines`` as (line, initial, repeated_at, repeated_from, first_at)."""
+    entry = "struct(product_line AS line, initial, repeated_at, repeated_from, first_at)"
     return lines.groupBy("member_id").agg(F.expr(f"array_sort(collect_list({entry})) AS lines"))
 
 
@@ -121,8 +123,16 @@ def top_repurchased_lines(journeys: DataFrame, k: int = 4) -> DataFrame:
 
 
 def repeat_histories(journeys: DataFrame) -> DataFrame:
-    """Per repeated line and set of lines its buyer had bought at a lower rank: members."""
-    earlier = "transform(filter(lines, p -> p.first_at < r.repeated_at), p -> struct(p.line))"
+    """Per repeated line and set of lines its buyer had bought at a lower rank: members.
+
+    A purchase that had none before it stands as an unnamed line in the set.
+    """
+    lower = "transform(filter(lines, p -> p.first_at < r.repeated_at), p -> struct(p.line))"
+    none_before = (
+        "CASE WHEN r.repeated_from <= array_min(transform(lines, p -> p.first_at))"
+        " THEN array(struct(CAST(NULL AS STRING) AS line)) ELSE array() END"
+    )
+    earlier = f"array_sort(array_distinct(concat({lower}, {none_before})))"
     return (
         journeys.selectExpr(
             "member_id IS NOT NULL AS known",

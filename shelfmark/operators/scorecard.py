@@ -288,17 +288,14 @@ class ScorecardRun:
             f"coalesce({VALID_MEMBER_ORDER}, false) AS valid",
             "coalesce(n_first, 0) AS n_first",
             "coalesce(n_repeat, 0) AS n_repeat",
+            "greatest(coalesce(n_first + n_repeat, 0), 1) AS fan",
             *extra.line_columns,
         ]
         counts = {
             n: f"count(DISTINCT {what}) FILTER (WHERE {condition})"
             for n, (what, condition) in {**BASE_COUNTS, **extra.counts}.items()
         }
-        sales = {
-            n: f"CAST(sum(CASE WHEN {condition} THEN net * CAST({times} AS DECIMAL(10,0)) ELSE 0 END)"
-            f" AS {MONEY_TOTAL})"
-            for n, (condition, times) in BASE_SALES.items()
-        }
+        sales = {n: counted_sales(condition, times) for n, (condition, times) in BASE_SALES.items()}
         measures = {**counts, **sales, "lines": "count(*)"}
         by_period = (
             branch_rows(fact, branches, carry)
@@ -372,16 +369,25 @@ BASE_COUNTS: dict[str, tuple[str, str]] = {
     "initial_buyers": ("member_id", "valid AND n_first > 0"),
     "repurchase_buyers": ("member_id", "valid AND n_repeat > 0"),
 }
-# Net sales: name -> (condition, how often a line counts). A line counts once per ranked
-# member of its order, and at least once in the overall figure.
+# Net sales: name -> (condition, how many of the line's ``fan`` rows count). Ranks are per
+# order and member, so a line stands for one row per ranked member of its order, and at least
+# for one; of these, ``n_first`` have rank 1 and ``n_repeat`` a later rank.
 BASE_SALES: dict[str, tuple[str, str]] = {
-    "member_sales": ("member_order", "greatest(n_first + n_repeat, 1)"),
-    "new_sales": ("member_order AND is_new", "greatest(n_first + n_repeat, 1)"),
+    "member_sales": ("member_order", "fan"),
+    "new_sales": ("member_order AND is_new", "fan"),
     "first_sales": ("member_order AND NOT is_new", "n_first"),
     "repeat_sales": ("member_order AND NOT is_new", "n_repeat"),
 }
 
 
+def counted_sales(condition: str, times: str) -> str:
+    """Sum over the rows a line stands for; rows that do not count are 0, so an unknown amount
+    stays unknown only where every row counts."""
+    amount = f"net * CAST({times} AS DECIMAL(10,0))"
+    value = amount if times == "fan" else f"CASE WHEN {times} = fan THEN {amount} ELSE coalesce({amount}, 0) END"
+    return f"CAST(sum(CASE WHEN {condition} THEN {value} ELSE 0 END) AS {MONEY_TOTAL})"
+
+
 def base_count(period: str, name: str) -> str:
     """A base count after the join. The total of the member block exists even when no line
     falls into a period (its counts are 0); dimension rows then have no figure."""
