@@ -26,16 +26,24 @@ def order_rank_range(ranks: DataFrame) -> DataFrame:
     ).withColumnRenamed("parent_order_id", "ranked_order_id")
 
 
-def member_lines(valid: DataFrame, ranks: DataFrame, this_year: str) -> DataFrame:
+def order_member_lines(valid: DataFrame, this_year: str) -> DataFrame:
+    """One row per (order, member, line) of valid lines: everything baskets, ranks and journeys
+    need to know about them."""
+    return valid.groupBy("parent_order_id", "member_id", "product_line").agg(
+        F.expr("min(order_paid_time) AS order_paid_time"),
+        F.expr(f"max({this_year}) AS recent"),
+        F.expr("min(sku_id) AS min_sku_id"),
+        F.expr("max(sku_id) AS max_sku_id"),
+    )
+
+
+def member_lines(per_order: DataFrame, ranks: DataFrame) -> DataFrame:
     """One row per (member, line).
 
     ``initial``: bought this year in someone's first order; ``repeated_at``: highest rank of
     this year's orders that are a repeat, ``repeated_from`` the lowest (an order shared by
     several members has several ranks); ``first_at``: lowest rank of any order.
     """
-    per_order = valid.groupBy("parent_order_id", "member_id", "product_line").agg(
-        F.expr(f"max({this_year}) AS recent")
-    )
     joined = per_order.join(order_rank_range(ranks), F.expr("parent_order_id = ranked_order_id"), "left")
     return joined.groupBy("member_id", "product_line").agg(
         F.expr("coalesce(max(recent AND min_rk = 1), false) AS initial"),

@@ -7,6 +7,8 @@ into evenly sized, correctly ordered slots, so that no member has to be ranked i
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,20 +16,25 @@ TIE = "substring(md5(parent_order_id), 1, 8)"
 SLOT_DIGITS = 3  # 4,096 slots per instant
 
 
-def _extremes(items: tuple[str, ...]) -> list[str]:
+def _extremes(items: Sequence[str]) -> list[str]:
     return [f"{how}({how}_{i}) AS {how}_{i}" for i in items for how in ("min", "max")]
 
 
-def first_paid_time(valid: DataFrame, items: tuple[str, ...] = ()) -> DataFrame:
-    """One row per (order, member): earliest payment. ``items`` adds the lowest and highest
-    value of each named column, enough to tell whether an order holds two different ones."""
-    spread = [f"{how}({i}) AS {how}_{i}" for i in items for how in ("min", "max")]
+def first_paid_time(valid: DataFrame, items: Mapping[str, tuple[str, str]] = {}) -> DataFrame:
+    """One row per (order, member): earliest payment. ``items`` names columns by their lowest
+    and highest source (often the same column) and adds ``min_`` and ``max_`` of them, enough
+    to tell whether an order holds two different ones."""
+    spread = [
+        e
+        for name, (low, high) in items.items()
+        for e in (f"min({low}) AS min_{name}", f"max({high}) AS max_{name}")
+    ]
     return valid.groupBy("parent_order_id", "member_id").agg(
         *map(F.expr, ["min(order_paid_time) AS first_paid_time", *spread])
     )
 
 
-def order_rank_flags(entries: DataFrame, items: tuple[str, ...] = ()) -> DataFrame:
+def order_rank_flags(entries: DataFrame, items: Sequence[str] = ()) -> DataFrame:
     """Per order: how many members have it ranked, and for how many it is the first order.
 
     Only "first or later" is needed by the scorecards, and the first order is a minimum.

@@ -83,7 +83,8 @@ class ExtraCounts:
     line_columns: Sequence[str] = ()
     needs_city: bool = False
     bridge_columns: DataFrame | None = None
-    order_items: tuple[str, ...] = ()
+    # Order ranks with further per-order flags, in place of the plain ones.
+    order_flags: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -260,8 +261,9 @@ class ScorecardRun:
         lines = self.with_attributes(lines, "kpi")
         if extra.needs_city:
             lines = attach_city_maturity(lines, self.wh)
-        valid = valid_store_lines(self.wh, cal, self.conv, extra.order_items)
-        ranked = order_rank_flags(first_paid_time(valid, extra.order_items), extra.order_items)
+        ranked = extra.order_flags
+        if ranked is None:
+            ranked = order_rank_flags(first_paid_time(valid_store_lines(self.wh, cal, self.conv)))
         return lines.join(ranked, F.expr("parent_order_id = ranked_order_id"), "left")
 
     def member_kpis(self, fact: DataFrame | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from shelfmark.operators import basket, journey, members, products, profile
 from shelfmark.operators import conform as conformed
 from shelfmark.operators.lifetime import first_paid_time, lifetime_order_rank, order_rank_flags
 from shelfmark.operators.scorecard import ScorecardRun, period_metrics, sales_figures, valid_store_lines
-from shelfmark.plans.line_report import journeys_of, this_year_lines
+from shelfmark.plans.line_report import journeys_of, store_order_lines, this_year_lines
 from shelfmark.plans.reports import purchase_days, valid_omnichannel_lines
 from shelfmark.plans.scorecards import STORE_BY_LINE, STORE_BY_PRICE
 from shelfmark.sources.tables import Warehouse, latest_snapshot as newest_rows
@@ -102,19 +102,19 @@ def top_bundled(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFr
 
 
 def initial_repurchase(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
-    return journey.initial_repurchase_summary(journeys_of(wh, cal, conv), conv).drop("is_total")
+    return journey.initial_repurchase_summary(journeys_of(store_order_lines(wh, cal, conv)), conv).drop("is_total")
 
 
 def top_repurchased(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
-    return journey.top_repurchased_lines(journeys_of(wh, cal, conv))
+    return journey.top_repurchased_lines(journeys_of(store_order_lines(wh, cal, conv)))
 
 
 def prior_purchase(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
-    return journey.prior_purchase_summary(journey.repeat_histories(journeys_of(wh, cal, conv)))
+    return journey.prior_purchase_summary(journey.repeat_histories(journeys_of(store_order_lines(wh, cal, conv))))
 
 
 def top_previous(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
-    return journey.top_previous_lines(journey.repeat_histories(journeys_of(wh, cal, conv)))
+    return journey.top_previous_lines(journey.repeat_histories(journeys_of(store_order_lines(wh, cal, conv))))
 
 
 def nth_purchase_shoppers(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:

@@ -9,7 +9,7 @@ from shelfmark.conventions import Conventions
 from shelfmark.functions.measures import safe_ratio
 from shelfmark.functions.windows import TY, ytd_window
 from shelfmark.operators import basket, journey, profile
-from shelfmark.operators.lifetime import first_paid_time, lifetime_order_rank
+from shelfmark.operators.lifetime import first_paid_time, lifetime_order_rank, order_rank_flags
 from shelfmark.operators.scorecard import (
     ExtraCounts,
     ScorecardRun,
@@ -20,6 +20,7 @@ from shelfmark.operators.scorecard import (
     valid_store_lines,
 )
 from shelfmark.plans.scorecards import STORE_BY_LINE
+from shelfmark.sources.staging import stage
 from shelfmark.sources.tables import Warehouse
 
 # Order items that make an order a bundle -> output column.
@@ -44,7 +45,26 @@ def this_year_lines(cal: ReportCalendar) -> str:
     return ytd_window("order_paid_date", cal, TY, bounded=False)
 
 
-def line_extras(wh: Warehouse, cal: ReportCalendar, fix_under_18: bool = False) -> ExtraCounts:
+# What makes an order a bundle, over the rows of ``order_member_lines``.
+ORDER_ITEMS = {
+    "sku_id": ("min_sku_id", "max_sku_id"),
+    "product_line": ("product_line", "product_line"),
+}
+
+
+def store_order_lines(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
+    """Valid store lines reduced to (order, member, line); the base of every block below.
+
+    Where the cluster has a shared checkpoint folder the reduced rows are written once, so
+    that the order lines are scanned and joined to the members once instead of per block.
+    """
+    valid = valid_store_lines(wh, cal, conv, ["product_line", "sku_id"])
+    return stage(journey.order_member_lines(valid, this_year_lines(cal)))
+
+
+def line_extras(
+    wh: Warehouse, cal: ReportCalendar, order_lines: DataFrame, fix_under_18: bool = False
+) -> ExtraCounts:
     """Bundle and profile counts that join the member block."""
     bundles = {n: ("parent_order_id", f"valid AND coalesce({n}, false)") for n in BUNDLE_RATES}
     return ExtraCounts(
@@ -52,29 +72,29 @@ def line_extras(wh: Warehouse, cal: ReportCalendar, fix_under_18: bool = False)
         line_columns=(*BUNDLE_RATES, *profile.PROFILE_LINE_COLUMNS),
         needs_city=True,
         bridge_columns=profile.member_profile(wh, cal).drop("tier_code", "has_birthday"),
-        order_items=("sku_id", "product_line"),
+        order_flags=order_rank_flags(first_paid_time(order_lines, ORDER_ITEMS), list(ORDER_ITEMS)),
     )
 
 
-def journeys_of(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
+def journeys_of(order_lines: DataFrame) -> DataFrame:
     """Member journeys over store lines; reused by every journey block."""
-    valid = valid_store_lines(wh, cal, conv, ["product_line"])
-    ranks = lifetime_order_rank(first_paid_time(valid_store_lines(wh, cal, conv)))
-    return journey.member_journeys(journey.member_lines(valid, ranks, this_year_lines(cal)))
+    ranks = lifetime_order_rank(first_paid_time(order_lines))
+    return journey.member_journeys(journey.member_lines(order_lines, ranks))
 
 
 def store_by_line(
     wh: Warehouse, cal: ReportCalendar, conv: Conventions, fix_under_18: bool = False
 ) -> DataFrame:
-    run = ScorecardRun(wh, cal, conv, STORE_BY_LINE, line_extras(wh, cal, fix_under_18))
+    order_lines = store_order_lines(wh, cal, conv)
+    extras = line_extras(wh, cal, order_lines, fix_under_18)
+    run = ScorecardRun(wh, cal, conv, STORE_BY_LINE, extras)
     keys = ["is_total", "product_line"]
     rows = run.joined()
 
-    valid = valid_store_lines(wh, cal, conv, ["product_line"])
-    patterns = basket.basket_patterns(valid, this_year_lines(cal))
+    patterns = basket.basket_patterns(order_lines, "recent")
     bundles = basket.top_bundled_lines(basket.ranked_bundles(patterns))
 
-    journeys = journeys_of(wh, cal, conv)
+    journeys = journeys_of(order_lines)
     histories = journey.repeat_histories(journeys)
     starts = journey.initial_repurchase_summary(journeys, conv)
     next_lines = journey.line_ranks(
