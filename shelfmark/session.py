@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import SparkSession
 
 # What the jobs rely on, on any cluster: adaptive execution picks join sides by measured
@@ -14,7 +16,9 @@ EXPECTED = {
 }
 
 
-def local_session(cpus: int = 8, memory: str = "12g", name: str = "shelfmark") -> SparkSession:
+def local_session(
+    cpus: int = 8, memory: str = "12g", name: str = "shelfmark", more: Mapping[str, str] = {}
+) -> SparkSession:
     """A one-machine session for tests and the benchmark: few, small partitions."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(name)
     settings = {
@@ -26,6 +30,7 @@ def local_session(cpus: int = 8, memory: str = "12g", name: str = "shelfmark") -
         "spark.sql.files.maxPartitionBytes": "2m",
         "spark.sql.files.openCostInBytes": "256k",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
+        **more,
     }
     for key, value in settings.items():
         builder = builder.config(key, value)

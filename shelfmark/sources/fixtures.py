@@ -186,11 +186,11 @@ class FixtureWarehouse:
         return _similarity(items, "line1", "line2").select(*columns)
 
     def _line_age_similarity(self, columns: Sequence[str]) -> DataFrame:
-        label = f"product_line || ' ' || {segments.age_band(segments.min_age('age_mark'))}"
         labels = (
             self._product(["sku_id", "product_line", "age_mark"])
             .filter(segments.is_rated("age_mark"))
-            .selectExpr("sku_id", f"{label} AS item")
+            .selectExpr("sku_id", "product_line", f"{segments.min_age('age_mark')} AS years")
+            .selectExpr("sku_id", f"product_line || ' ' || {segments.age_band('years')} AS item")
             .filter("item IS NOT NULL")
         )
         items = self._store_sales(["parent_order_id", "sku_id"]).join(labels, "sku_id")

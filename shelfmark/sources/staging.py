@@ -18,4 +18,9 @@ def stage(df: DataFrame) -> DataFrame:
     The stored copy outlives lost executors. Without a shared folder the plan is returned as
     it is and every reader computes it for itself.
     """
-    return df.checkpoint(eager=True) if has_shared_folder(df.sparkSession) else df
+    spark = df.sparkSession
+    if not has_shared_folder(spark):
+        return df
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get(CHECKPOINT_DIR))
+    return df.checkpoint(eager=True)

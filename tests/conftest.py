@@ -13,8 +13,12 @@ TESTDATA = "/root/testdata"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(cpus=4, memory="6g", name="tests")
+def spark(tmp_path_factory):
+    folders = {
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+    }
+    session = local_session(cpus=4, memory="6g", name="tests", more=folders)
     yield session
     session.stop()
 
