@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfmark.calendar import ReportCalendar
 from shelfmark.functions import segments
@@ -111,6 +112,10 @@ PROFILE_EVENTS = {
 SNAPSHOT_NEW, SNAPSHOT_OLD = "DATE'2001-06-30'", "DATE'2001-06-01'"
 
 
+# Schemas read from Parquet footers, kept so that the same files are not inspected per query.
+_FILE_SCHEMAS: dict[str, StructType] = {}
+
+
 def _pick(made: dict[str, str], columns: Sequence[str]) -> list[str]:
     return [f"{made[c]} AS {c}" if c in made else c for c in columns]
 
@@ -126,7 +131,10 @@ class FixtureWarehouse:
 
     def _read(self, name: str) -> DataFrame:
         if name not in self._opened:
-            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            if path not in _FILE_SCHEMAS:
+                _FILE_SCHEMAS[path] = self.spark.read.parquet(path).schema
+            self._opened[name] = self.spark.read.schema(_FILE_SCHEMAS[path]).parquet(path)
         return self._opened[name]
 
     def _product(self, columns: Sequence[str]) -> DataFrame:
@@ -215,13 +223,15 @@ def _similarity(sales: DataFrame, left: str, right: str) -> DataFrame:
     pairs = (
         patterns.selectExpr("explode(items) AS a", "items", "n")
         .selectExpr("a", "explode(items) AS b", "n")
+        .filter("a <> b")
         .groupBy("a", "b")
         .agg(F.expr("sum(n) AS shared"))
     )
-    own = pairs.filter("a = b").selectExpr("a AS item", "shared AS orders")
+    own = (
+        patterns.selectExpr("explode(items) AS item", "n").groupBy("item").agg(F.expr("sum(n) AS orders"))
+    )
     scored = (
-        pairs.filter("a <> b")
-        .join(own.selectExpr("item AS a", "orders AS orders_a"), "a")
+        pairs.join(own.selectExpr("item AS a", "orders AS orders_a"), "a")
         .join(own.selectExpr("item AS b", "orders AS orders_b"), "b")
         .selectExpr("a", "b", "shared / sqrt(CAST(orders_a * orders_b AS DOUBLE)) AS cosine_similarity")
     )
