@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, mixing, sharding, toxicity
+from shelfmark.llm import bpe, minhash, mixing, sharding, toxicity
 
 #: Bytes of text a shard may hold.
 SHARD_BYTES = 32 * 1024 * 1024
@@ -50,11 +50,16 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.extendible_shards(_table(spark, folder, "documents"), SHARD_BYTES)
 
 
+def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op5_source_mix": op5_source_mix,
     "op7_bpe": op7_bpe,
     "op9_sharding": op9_sharding,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
