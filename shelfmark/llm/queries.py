@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, minhash, mixing, sharding, toxicity
+from shelfmark.llm import bpe, line_dedup, minhash, mixing, sharding, toxicity
 
 #: Bytes of text a shard may hold.
 SHARD_BYTES = 32 * 1024 * 1024
@@ -23,6 +23,10 @@ def held_out(modulus: int, remainder: int) -> str:
     return f"coalesce(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % {modulus} = {remainder}, false)"
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_groups(_table(spark, folder, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     known = _table(spark, folder, "labels").where(f"NOT {held_out(3, 1)}")
@@ -55,6 +59,7 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
     "op5_source_mix": op5_source_mix,
     "op7_bpe": op7_bpe,
