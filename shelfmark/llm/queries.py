@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, line_dedup, minhash, mixing, sharding, toxicity
+from shelfmark.llm import ann, bpe, line_dedup, minhash, mixing, sharding, toxicity
 
 #: Bytes of text a shard may hold.
 SHARD_BYTES = 32 * 1024 * 1024
@@ -50,6 +50,11 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_ann(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.extendible_shards(_table(spark, folder, "documents"), SHARD_BYTES)
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op5_source_mix": op5_source_mix,
     "op7_bpe": op7_bpe,
+    "op8_ann": op8_ann,
     "op9_sharding": op9_sharding,
     "op10_minhash": op10_minhash,
 }
