@@ -24,7 +24,8 @@ ORDER_BITS = 60
 BUCKET_BITS = 12
 #: Rounds of filling what is left of a quota with ever smaller documents.
 FILLS = 3
-#: Patterns the driver's flow network may have; more is an error, never a sample.
+#: Patterns the flow network may have; more is an error, never a sample. It bounds the tables that are broadcast:
+#: they have one row of a few numbers for each pattern.
 MAX_PATTERNS = 100_000
 
 
@@ -105,7 +106,7 @@ def _cut(rows: DataFrame, wanted: DataFrame, turn: int) -> DataFrame:
     seeded order whose sizes do not exceed the room. A histogram finds the bucket of the cut, so that
     only that bucket's rows are ordered.
     """
-    fitting = rows.join(wanted, "pattern").where("size <= room AND size > 0 AND room > 0")
+    fitting = rows.join(F.broadcast(wanted), "pattern").where("size <= room AND size > 0 AND room > 0")
     shift = ORDER_BITS - BUCKET_BITS
     buckets = (
         fitting.groupBy("pattern", F.expr(f"ord >> {shift}").alias("bucket"))
@@ -115,7 +116,8 @@ def _cut(rows: DataFrame, wanted: DataFrame, turn: int) -> DataFrame:
     edge = buckets.where("upto > room").groupBy("pattern").agg(F.min("bucket").alias("edge"))
     whole = buckets.join(edge, "pattern", "left").where("edge IS NULL OR bucket < edge")
     base = whole.groupBy("pattern").agg(F.sum("mass").alias("base"), F.max("bucket").alias("last"))
-    inside = fitting.join(edge, "pattern").where(f"ord >> {shift} = edge").join(base.select("pattern", "base"), "pattern", "left")
+    inside = fitting.join(F.broadcast(edge), "pattern").where(f"ord >> {shift} = edge")
+    inside = inside.join(F.broadcast(base.select("pattern", "base")), "pattern", "left")
     run = F.sum("size").over(Window.partitionBy("pattern").orderBy("ord")) + F.coalesce("base", F.lit(0))
     taken = inside.withColumn("run", run).where("run <= room").groupBy("pattern").agg(F.max("ord").alias("at"), F.max("run").alias("run"))
     cut = wanted.join(base, "pattern", "left").join(taken, "pattern", "left")
@@ -191,11 +193,11 @@ def mix_sources(
         plan = plan.join(cut.drop("room"), "pattern", "left")
         chosen.append(f"(size > 0 AND size <= room_{turn} AND ord <= upto_{turn})")
         if turn + 1 < FILLS:
-            rest = rest.join(cut.drop("room"), "pattern", "left").where(f"NOT coalesce({chosen[-1]}, false)").select("pattern", "size", "ord")
+            rest = rest.join(F.broadcast(cut.drop("room")), "pattern", "left").where(f"NOT coalesce({chosen[-1]}, false)").select("pattern", "size", "ord")
             wanted = cut.select("pattern", "room")
     extra = f"CASE WHEN coalesce({' OR '.join(chosen)}, false) THEN 1 ELSE 0 END"
     return (
-        rows.join(plan, "pattern")
+        rows.join(F.broadcast(plan), "pattern")
         .selectExpr("*", f"CASE WHEN size > 0 THEN least(whole + {extra}, {MAX_EPOCHS}) ELSE 0 END AS epochs")
         .selectExpr(f"k AS {key}", "size", "source_size", "target", "size * epochs AS taken", "CAST(epochs AS INT) AS epochs")
     )
