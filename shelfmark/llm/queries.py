@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import ann, bpe, fingerprint, line_dedup, minhash, mixing, sharding, toxicity
+from shelfmark.llm import ann, bpe, fingerprint, katz, line_dedup, minhash, mixing, sharding, toxicity
 
 #: Bytes of text a shard may hold.
 SHARD_BYTES = 32 * 1024 * 1024
@@ -42,6 +42,10 @@ def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
 
+def op6_katz(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.score_texts(_table(spark, folder, "documents"), held_out(10, 0))
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     coded = bpe.encode_texts(_table(spark, folder, "documents"), path)
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_fingerprint": op4_fingerprint,
     "op5_source_mix": op5_source_mix,
+    "op6_katz": op6_katz,
     "op7_bpe": op7_bpe,
     "op8_ann": op8_ann,
     "op9_sharding": op9_sharding,
