@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import ann, bpe, fingerprint, katz, line_dedup, minhash, mixing, sharding, toxicity
+from shelfmark.llm import ann, bpe, fingerprint, katz, line_dedup, minhash, mixing, sharding, substring, toxicity
 
 #: Bytes of text a shard may hold.
 SHARD_BYTES = 32 * 1024 * 1024
@@ -34,6 +34,10 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.expr(held_out(3, 1)).alias("held_out"), "score", "predicted")
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.repeated_passages(_table(spark, folder, "documents"))
+
+
 def op4_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.compare_edits(_table(spark, folder, "documents"))
 
@@ -74,6 +78,7 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_fingerprint": op4_fingerprint,
     "op5_source_mix": op5_source_mix,
     "op6_katz": op6_katz,
