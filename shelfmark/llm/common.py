@@ -89,52 +89,45 @@ def connected_components(links: DataFrame, staging: Staging, name: str = "cc") -
             return labels
 
 
-#: Rounds in which each unresolved bucket compares one more member with all others before the rest is paired.
-HUB_ROUNDS = 2
-
-
 def bucket_components(
-    members: DataFrame, accept: Callable[[DataFrame, str], DataFrame], staging: Staging
-) -> tuple[DataFrame, DataFrame]:
-    """Components and confirmed links of ids that meet in buckets.
+    members: DataFrame,
+    accept: Callable[[DataFrame, str], DataFrame],
+    finish: Callable[[DataFrame], DataFrame],
+    staging: Staging,
+) -> DataFrame:
+    """``(id, component)`` of the ids that a link reaches, from candidates that meet in buckets.
 
     ``members(bucket, id)`` are candidates; ``accept(pairs(a, b), name)`` returns the pairs that are links.
-    Two ids that share a bucket end in one component if and only if links between bucket mates
-    connect them, but not all mates are paired: first every bucket compares its smallest id with the
-    others (a minimum combined before the shuffle, then a join that splits hot buckets). Only mates
-    still in different components are compared further, again by one id against the others, and
-    what is then left is paired in full. Buckets of two need no second look at all.
+    Not all mates of a bucket are paired: first every bucket compares its smallest id with the others
+    (a minimum combined before the shuffle, then a join that splits hot buckets), which is all there
+    is to do in buckets of two. ``finish(mates(bucket, id, c, hub))`` gets the buckets whose other mates
+    still lie in different components ``c`` and returns all links that are missing between these.
     """
     sized = members.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high")
     )
     shared = staging.keep(sized.where("low < high"), "buckets")
     larger = shared.where("n > 2").selectExpr("bucket", "low AS hub")
-    rest = staging.keep(members.join(larger, "bucket").where("id > hub").select("bucket", "id", "hub").distinct(), "mates-0")
+    rest = staging.keep(members.join(larger, "bucket").where("id > hub").select("bucket", "id", "hub").distinct(), "mates")
     pairs = shared.where("n = 2").selectExpr("low AS a", "high AS b").union(rest.selectExpr("hub AS a", "id AS b"))
-    links = staging.keep(accept(pairs.distinct(), "0"), "links-0")
-    turn = 0
-    while True:
-        components = connected_components(links, staging, f"components-{turn}")
-        known = components.withColumnRenamed("component", "c")
-        labelled = rest.join(known, "id", "left").selectExpr("bucket", "id", "coalesce(c, id) AS c")
-        split = labelled.groupBy("bucket").agg(F.min("id").alias("hub"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-        open_buckets = split.where("c0 < c1").select("bucket", "hub")
-        turn += 1
-        mates = staging.keep(labelled.join(open_buckets, "bucket"), f"mates-{turn}")
-        if turn > 1:
-            staging.drop(f"mates-{turn - 1}")
-        if mates.isEmpty():
-            return components, links
-        if turn <= HUB_ROUNDS:
-            hubs = mates.where("id = hub").selectExpr("bucket", "c AS hc").distinct()
-            found = mates.where("id > hub").join(hubs, "bucket").where("c != hc").selectExpr("hub AS a", "id AS b")
-            rest = mates.where("id > hub").select("bucket", "id")
-        else:
-            other = mates.selectExpr("bucket", "id AS a", "c AS ca")
-            found = mates.join(other, "bucket").where("a < id AND c != ca").selectExpr("a", "id AS b")
-            rest = rest.limit(0)
-        more = staging.keep(accept(found.distinct(), str(turn)), f"more-{turn}")
-        links = links.union(more)
-        if turn > HUB_ROUNDS:
-            return connected_components(links, staging, f"components-{turn}"), links
+    links = staging.keep(accept(pairs.distinct(), "star"), "links")
+    components = connected_components(links, staging, "components")
+    known = components.withColumnRenamed("component", "c")
+    labelled = rest.select("bucket", "id").join(known, "id", "left").selectExpr("bucket", "id", "coalesce(c, id) AS c")
+    split = labelled.groupBy("bucket").agg(F.min("id").alias("hub"), F.min("c").alias("c0"), F.max("c").alias("c1"))
+    mates = staging.keep(labelled.join(split.where("c0 < c1").select("bucket", "hub"), "bucket"), "open-mates")
+    if mates.isEmpty():
+        return components
+    more = staging.keep(finish(mates), "more-links")
+    return components if more.isEmpty() else _joined(components, more, staging)
+
+
+def _joined(components: DataFrame, links: DataFrame, staging: Staging) -> DataFrame:
+    """Components after more links: only the components that the links touch are joined."""
+    left, right = components.selectExpr("id AS a", "component AS ca"), components.selectExpr("id AS b", "component AS cb")
+    ends = links.join(left, "a", "left").join(right, "b", "left").selectExpr("coalesce(ca, a) AS a", "coalesce(cb, b) AS b")
+    merged = connected_components(ends, staging, "merged").toDF("was", "now")
+    linked = links.selectExpr("explode(array(a, b)) AS id").distinct()
+    everyone = components.union(linked.selectExpr("id", "id AS component"))
+    everyone = everyone.groupBy("id").agg(F.min("component").alias("was"))
+    return staging.keep(everyone.join(merged, "was", "left").selectExpr("id", "coalesce(now, was) AS component"), "all-components")

@@ -12,12 +12,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Staging, bucket_components
+from shelfmark.llm.common import Staging, bucket_components, connected_components
 
 SHINGLE = 5
 #: Places of a signature; bands times rows. At a similarity of 0.75 a pair shares no band with probability 6e-6.
@@ -32,6 +33,9 @@ SKETCH_LIMIT = 48
 #: Elements signed at once at most, but for a single larger set; bounds a task's memory.
 BATCH_ELEMENTS = 150_000
 
+#: Sets of a cluster that one task compares with each other or with as many others.
+BLOCK = 2_048
+
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -200,6 +204,30 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
+def _compare(group: pd.DataFrame) -> pd.DataFrame:
+    """Links that join different components within one or two blocks of sets."""
+    sets = [np.frombuffer(e, dtype=np.uint64) for e in group["elements"]]
+    ids, labels = group["id"].to_numpy(), group["c"].to_numpy()
+    sizes = np.array([len(s) for s in sets])
+    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    component = np.unique(labels, return_inverse=True)[1]
+    largest = np.bincount(component).argmax()
+    found = []
+    for x in np.flatnonzero(component != largest).tolist():  # pairs within the largest need no link
+        if (component == component[x]).all():
+            break
+        held = np.zeros(len(values), dtype=bool)
+        held[flat[ends[x] - sizes[x] : ends[x]]] = True
+        both = np.add.reduceat(held[flat].astype(np.int64), ends - sizes)
+        linked = 100 * both >= LINK * (sizes + sizes[x] - both)
+        for y in np.flatnonzero(linked & (component != component[x])).tolist():
+            if component[y] != component[x]:
+                found.append((ids[x], ids[y]))
+                component[component == component[y]] = component[x]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, n_shingles, component_id, kept)`` for every row of ``documents``.
 
@@ -239,8 +267,24 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         both = likely.join(sets.selectExpr("id AS a", "elements AS x"), "a").join(sets.selectExpr("id AS b", "elements AS y"), "b")
         return both.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long").distinct()
 
+    def finish(mates: DataFrame) -> DataFrame:
+        # Sets that open buckets connect form clusters; each set goes to its cluster once and is compared there.
+        edges = mates.where("id > hub").selectExpr("hub AS a", "id AS b")
+        clusters = connected_components(edges, staging, "clusters").withColumnRenamed("component", "cluster")
+        placed = clusters.join(mates.select("id", "c").distinct(), "id")
+        sizes = placed.groupBy("cluster").agg(F.expr(f"CAST(ceil(count(1) / {BLOCK}) AS INT)").alias("blocks"))
+        placed = staging.keep(
+            placed.join(sizes, "cluster").withColumn("block", F.expr("CAST(pmod(xxhash64(id), blocks) AS INT)")), "placed"
+        )
+        some = texts.join(placed.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+        sets = placed.join(some.mapInArrow(_as_sets, "id long, elements binary"), "id")
+        met = sets.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).selectExpr(
+            "cluster", "least(block, other) AS i", "greatest(block, other) AS j", "id", "c", "elements"
+        )
+        return met.groupBy("cluster", "i", "j").applyInPandas(_compare, "a long, b long")
+
     members = firsts.select(F.explode("bands").alias("bucket"), "id")
-    components, _ = bucket_components(members, accept, staging)
+    components = bucket_components(members, accept, finish, staging)
     reached = classes.join(components, "id", "left").selectExpr("c0", "c1", "coalesce(component, id) AS component_id")
     # A document's classes (more than one only where rows share a key) all lie in one component.
     out = signed.join(reached, ["c0", "c1"], "left").selectExpr(
