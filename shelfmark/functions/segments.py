@@ -142,7 +142,6 @@ def capped_count_label(count: str, cap: int) -> str:
 def line_split(line: str, sku_name: str, target: str, keyword: str) -> str:
     """Divide one product line by a keyword in the SKU name."""
     return (
-        f"CASE WHEN {line} <> '{target}' THEN {line} "
-        f"WHEN {sku_name} LIKE '%{keyword}%' AND {line} = '{target}' THEN '{target}_WITH' "
-        f"WHEN {sku_name} NOT LIKE '%{keyword}%' AND {line} = '{target}' THEN '{target}_WITHOUT' END"
+        f"IF({line} = '{target}', concat('{target}_WITH',"
+        f" CASE {sku_name} LIKE '%{keyword}%' WHEN true THEN '' WHEN false THEN 'OUT' END), {line})"
     )

@@ -39,6 +39,11 @@ def valid_member_order_filter(lines: DataFrame) -> DataFrame:
     return lines.filter(VALID_MEMBER_ORDER)
 
 
+def spread_order_id(lines: DataFrame) -> str:
+    """SQL for the order id; lines without one get unmatchable keys (NUL byte + row hash) that spread."""
+    return f"coalesce(parent_order_id, concat(chr(0), CAST(xxhash64({', '.join(lines.columns)}) AS STRING)))"
+
+
 def attach_member_bridge(lines: DataFrame, bridge: DataFrame) -> DataFrame:
     """Left join on the member reference.
 
@@ -47,7 +52,7 @@ def attach_member_bridge(lines: DataFrame, bridge: DataFrame) -> DataFrame:
     spreads them evenly. Heavy references that do exist are split by AQE's skew join.
     """
     keyed = bridge.withColumnRenamed("member_id", "bridge_member_id")
-    own_key = "coalesce(CAST(member_ref AS STRING), concat(chr(0), parent_order_id))"
+    own_key = f"coalesce(CAST(member_ref AS STRING), concat(chr(0), {spread_order_id(lines)}))"
     same = f"{own_key} = CAST(bridge_member_id AS STRING)"
     return lines.join(keyed, F.expr(same), "left").drop("bridge_member_id")
 

@@ -25,7 +25,12 @@ from shelfmark.functions.measures import (
 )
 from shelfmark.functions.windows import LY, PERIODS, TY, ytd_window
 from shelfmark.operators import products
-from shelfmark.operators.conform import VALID_MEMBER_ORDER, attach_city_maturity, conform_order_lines
+from shelfmark.operators.conform import (
+    VALID_MEMBER_ORDER,
+    attach_city_maturity,
+    conform_order_lines,
+    spread_order_id,
+)
 from shelfmark.operators.lifetime import first_paid_time, order_rank_flags
 from shelfmark.sources.tables import Warehouse
 
@@ -58,8 +63,6 @@ class ScorecardSpec:
     sku_blocks: frozenset[str] = frozenset()
     # Descriptive columns reported next to the keys, from the sales block.
     descriptions: Mapping[str, Callable[[ReportCalendar], str]] = field(default_factory=dict)
-    # Rows of the report grow with the assortment (SKUs) rather than with lines and bands.
-    many_rows: bool = False
     # Whether this year's sales stop at ``as_of``, for dimension rows and for the total.
     bound_rows: bool = True
     bound_total: bool = True
@@ -167,22 +170,10 @@ class ScorecardRun:
         counted = (
             branch_rows(lines, branches, carry).groupBy("is_total", *names).agg(*map(F.expr, aggregates))
         )
-        return self._with_all_sales(self._compare_years(counted), lines)
-
-    def _with_all_sales(self, compared: DataFrame, lines: DataFrame) -> DataFrame:
-        """Adds this year's sales over all rows with a known ``share_key``.
-
-        Reports by lines and bands have few rows, so a window over them is cheapest; a report
-        by SKU must not pass through one task and sums its lines in a scalar subquery.
-        """
-        spec = self.spec
-        if not spec.many_rows:
-            counts = f"NOT is_total AND {spec.share_key} IS NOT NULL"
-            return compared.selectExpr("*", f"sum(CASE WHEN {counts} THEN ty_sales END) OVER () AS all_sales")
-        key = next(d for d in spec.dimensions if d.name == spec.share_key).sales(self.cal, TY)
-        window = ytd_window("sale_date", self.cal, TY, spec.bound_rows)
-        summed = lines.filter(f"{window} AND ({key}) IS NOT NULL").agg(F.expr(f"sum({signed_amount()})"))
-        return compared.withColumn("all_sales", summed.scalar())
+        # The denominator of the sales share: one number from the grouped rows, whose exchange is reused.
+        in_share = f"NOT is_total AND {spec.share_key} IS NOT NULL AND ty_rows > 0"
+        all_sales = counted.filter(in_share).agg(F.expr("sum(ty_sales)")).scalar()
+        return self._compare_years(counted).withColumn("all_sales", all_sales)
 
     def _compare_years(self, counted: DataFrame) -> DataFrame:
         spec = self.spec
@@ -196,29 +187,15 @@ class ScorecardRun:
                 f"CASE WHEN {known} THEN ly_sales END AS ly_sales",
                 f"CASE WHEN {known} AND ly_rows > 0 THEN ly_tickets END AS ly_tickets",
             )
-        # Described rows: every description of this year meets every one of last year that
-        # has the same key. A key has a handful of descriptions (names of one SKU), so the
-        # two short lists are gathered per key instead of joining the aggregate with itself.
-        # Rows with an unknown key meet nothing and stay in groups of their own.
-        this = f"struct({', '.join(spec.descriptions)}, ty_sales, ty_tickets)"
-        last = "struct(ly_sales, ly_tickets)"
-        alone = f"CASE WHEN NOT ({known}) THEN struct({', '.join(spec.descriptions)}) END"
-        return (
-            counted.groupBy("is_total", *spec.keys, F.expr(alone).alias("alone"))
-            .agg(
-                F.expr(f"collect_list(CASE WHEN ty_rows > 0 THEN {this} END) AS this"),
-                F.expr(f"collect_list(CASE WHEN ly_rows > 0 THEN {last} END) AS last"),
-            )
-            .selectExpr("is_total", *spec.keys, "last", "inline(this)")
-            .selectExpr(
-                "is_total",
-                *spec.keys,
-                *spec.descriptions,
-                "ty_sales",
-                "ty_tickets",
-                f"inline_outer(CASE WHEN {known} THEN last END)",
-            )
+        # Described rows: every description of this year meets every one of last year that has
+        # the same key. Rows with an unknown key meet nothing.
+        keys = ["is_total", *spec.keys]
+        last = counted.filter(f"ly_rows > 0 AND {known}").selectExpr(
+            *[f"{k} AS last_{k}" for k in keys], "ly_sales", "ly_tickets"
         )
+        this = counted.filter("ty_rows > 0").selectExpr(*keys, *spec.descriptions, "ty_sales", "ty_tickets")
+        same = " AND ".join(f"{k} = last_{k}" for k in keys)
+        return this.join(last, F.expr(same), "left").drop(*[f"last_{k}" for k in keys])
 
     # -- plan ----------------------------------------------------------------------------
 
@@ -264,7 +241,7 @@ class ScorecardRun:
         ranked = extra.order_flags
         if ranked is None:
             ranked = order_rank_flags(first_paid_time(valid_store_lines(self.wh, cal, self.conv)))
-        return lines.join(ranked, F.expr("parent_order_id = ranked_order_id"), "left")
+        return lines.join(ranked, F.expr(f"{spread_order_id(lines)} = ranked_order_id"), "left")
 
     def member_kpis(self, fact: DataFrame | None = None) -> DataFrame:
         """Base counts and sales per key and in total, columns prefixed ``ty_`` and ``ly_``.

@@ -126,7 +126,6 @@ STORE_BY_LINE_PRICE = ScorecardSpec(
 STORE_BY_LINE_SKU = ScorecardSpec(
     dimensions=(LINE, SKU),
     share_key="sku_id",
-    many_rows=True,
     sales_columns=("product_line", "sku_name", "bu_launch_date"),
     kpi_columns=("product_line",),
     sku_base=products.RATED_AND_SELLING,

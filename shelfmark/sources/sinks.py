@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 def full_refresh(df: DataFrame, target: str) -> None:
     """Replace the contents of ``target`` (a table name or a folder) with ``df``.
 
-    An existing table keeps its definition and is overwritten by position-independent
-    column names; readers see the old or the new rows, as the table format allows.
+    An existing table keeps its definition and is overwritten by column name, whatever the
+    order. Its columns must be those of ``df``: on any difference nothing is written and a
+    ``ValueError`` names the columns (``create_table_as`` replaces a definition on purpose).
+    Readers see the old or the new rows, as the table format allows.
     """
     if "/" in target:
         df.write.mode("overwrite").parquet(target)
@@ -17,6 +19,11 @@ def full_refresh(df: DataFrame, target: str) -> None:
     catalog = df.sparkSession.catalog
     if catalog.tableExists(target):
         existing = df.sparkSession.table(target).columns
+        missing, extra = set(existing) - set(df.columns), set(df.columns) - set(existing)
+        if missing or extra:
+            raise ValueError(
+                f"{target} is not refreshed: the report lacks {sorted(missing)}, the table lacks {sorted(extra)}"
+            )
         df.select(*existing).write.mode("overwrite").insertInto(target, overwrite=True)
     else:
         create_table_as(df, target)

@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def has_shared_folder(spark: SparkSession) -> bool:
-    """Whether the cluster names a shared checkpoint folder."""
+    """Whether the cluster names a checkpoint folder."""
     return bool(spark.conf.get(CHECKPOINT_DIR, None))
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the cluster's shared checkpoint folder and read it from there.
+    """Write ``df`` once, as Parquet, to the cluster's shared checkpoint folder and read it from there.
 
-    The stored copy outlives lost executors. Without a shared folder the plan is returned as
-    it is and every reader computes it for itself.
+    The stored copy outlives lost executors, and its readers have statistics and read only
+    the columns they use. Without such a folder the plan is returned as it is and every
+    reader computes it for itself.
     """
     spark = df.sparkSession
     if not has_shared_folder(spark):
         return df
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get(CHECKPOINT_DIR))
-    return df.checkpoint(eager=True)
+    path = f"{spark.conf.get(CHECKPOINT_DIR).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from shelfmark.calendar import ReportCalendar
 
 # Columns each input table must offer, with their types.
 SCHEMAS: dict[str, str] = {
@@ -42,7 +46,7 @@ SCHEMAS: dict[str, str] = {
     "line_age_similarity": (
         "line_age1 string, line_age2 string, cosine_similarity double, rank int, update_date date"
     ),
-    "profile_events": "profile_id bigint, prop_key string, prop_value string, update_time timestamp_ntz",
+    "profile_events": "event_id bigint, profile_id bigint, prop_key string, prop_value string, update_time timestamp_ntz",
 }
 
 
@@ -66,7 +70,13 @@ def load_table(spark: SparkSession, location: str) -> DataFrame:
 class CatalogWarehouse:
     """Tables of a real deployment: table name -> catalog name or Parquet path.
 
-    ``renames`` maps a table's own column names to ours, per table.
+    ``renames`` maps a table's own column names to ours, per table. Columns of another type
+    than ``SCHEMAS`` declares are cast to it (money to decimal, whatever the table stores).
+
+    Where a sales table has only the ISO text ``date_id``, ``sale_date`` is derived from it; a
+    malformed text gives NULL, which lies in no window. ISO text sorts like dates, so with a
+    ``calendar`` the two years its reports can touch also become a range on the text itself,
+    which reaches the scan.
     """
 
     def __init__(
@@ -74,17 +84,48 @@ class CatalogWarehouse:
         spark: SparkSession,
         locations: Mapping[str, str],
         renames: Mapping[str, Mapping[str, str]] | None = None,
+        calendar: ReportCalendar | None = None,
     ):
         self.spark = spark
         self._locations = dict(locations)
         self._renames = dict(renames or {})
+        self._calendar = calendar
 
     def table(self, name: str, columns: Sequence[str]) -> DataFrame:
         df = load_table(self.spark, self._locations[name])
         df = df.withColumnsRenamed(dict(self._renames.get(name, {})))
         if name == "store_sales" and "sale_date" in columns and "sale_date" not in df.columns:
-            df = df.withColumn("sale_date", F.to_date("date_id"))
-        return df.select(*columns)
+            if self._calendar is not None:
+                first = min(self._calendar.ly_start, dt.date(self._calendar.year - 1, 1, 1))
+                end = dt.date(self._calendar.year + 1, 1, 1)
+                df = df.filter(f"date_id >= '{first}' AND date_id < '{end}'")
+            df = df.withColumn("sale_date", F.expr("CAST(try_to_timestamp(date_id, 'yyyy-MM-dd') AS DATE)"))
+        return _typed(df.select(*columns), name)
+
+
+def _typed(df: DataFrame, name: str) -> DataFrame:
+    """Columns as ``SCHEMAS`` types them; those that already are stay bare, so that filters reach the scan."""
+    declared = {f.name: f.dataType for f in StructType.fromDDL(SCHEMAS[name])}
+    return df.select(
+        *[
+            F.col(f.name).cast(declared[f.name]).alias(f.name)
+            if declared.get(f.name, f.dataType) != f.dataType
+            else F.col(f.name)
+            for f in df.schema
+        ]
+    )
+
+
+def check_unique(df: DataFrame, keys: Sequence[str], show: int = 10) -> None:
+    """Raise if rows of ``df`` share a (known) key, naming the first such keys.
+
+    Reports leave out joins to the SKU and city masters of which they use no column; that is
+    right only while ``product.sku_id`` and ``city_type.city`` are unique.
+    """
+    known = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    repeated = df.filter(known).groupBy(*keys).count().filter("count > 1").orderBy(*keys).limit(show).collect()
+    if repeated:
+        raise ValueError(f"repeated keys {keys}: {[tuple(r)[: len(keys)] for r in repeated]}")
 
 
 def latest_snapshot(df: DataFrame, date_col: str, by: DataFrame | None = None) -> DataFrame:
