@@ -88,25 +88,27 @@ def _keys(slots: np.ndarray, tables: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _candidates(index: Index, v: np.ndarray, order: np.ndarray, sorted_keys: np.ndarray) -> np.ndarray:
-    """Marks the rows of a block that share a visited bucket with a query in some table."""
+def _visits(index: Index, v: np.ndarray) -> np.ndarray:
+    """Keys of the buckets a query visits in all tables."""
     # A query's length does not change its neighbours: it is scaled to the common length.
     x = np.append(v * (index.length / np.linalg.norm(v)), 0.0)
     placed = index.place(x[None, :]).reshape(TABLES, PROJECTIONS)
     slots = np.floor(placed)
-    near = np.zeros(len(order), dtype=bool)
+    probed = np.repeat(slots[:, None, :], PROBES, axis=1)
     for t in range(TABLES):
-        moves = probe_order(placed[t] - slots[t], PROBES)
-        probed = np.repeat(slots[t][None, :], len(moves), axis=0)
-        for i, step in enumerate(moves):
+        for i, step in enumerate(probe_order(placed[t] - slots[t], PROBES)):
             for p, d in step.items():
-                probed[i, p] += d
-        keys = _keys(probed, np.full(len(moves), t))
-        starts = np.searchsorted(sorted_keys[:, t], keys, "left")
-        stops = np.searchsorted(sorted_keys[:, t], keys, "right")
-        for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
-            if a < b:
-                near[order[a:b, t]] = True
+                probed[t, i, p] += d
+    return np.unique(_keys(probed, np.broadcast_to(np.arange(TABLES)[:, None], (TABLES, PROBES))))
+
+
+def _candidates(n: int, visits: np.ndarray, keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Marks the rows of a block in visited buckets; ``keys`` are all its bucket keys in order, ``rows`` their rows."""
+    starts, stops = np.searchsorted(keys, visits, "left"), np.searchsorted(keys, visits, "right")
+    sizes = stops - starts
+    at = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
+    near = np.zeros(n, dtype=bool)
+    near[rows[at]] = True
     return near
 
 
@@ -187,20 +189,29 @@ def nearest(
     stored = staging.keep(placed, "index")
     blocks, query_blocks = -(-stored.count() // BLOCK), -(-wanted.count() // QUERY_BLOCK)
 
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch[batch["v"].map(len) == dim]
+            if len(batch):
+                yield pd.DataFrame({"q": batch["q"], "v": batch["v"], "visits": [_visits(index, np.asarray(v)) for v in batch["v"]]})
+
+    probing = wanted.select("q", "v").repartition(F.expr("pmod(xxhash64(q), 64)")).mapInPandas(visit, "q long, v array<double>, visits array<long>")
+    probing = staging.keep(probing, "probing")
+
     def match(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        queries = queries[queries["v"].map(len) == dim]
         found: list[pd.DataFrame] = []
         if len(block) and len(queries):
             x, g = np.stack(block["v"].to_numpy()), block["g"].to_numpy()
-            keys = np.stack(block["keys"].to_numpy())
-            order = np.argsort(keys, axis=0, kind="stable")
-            sorted_keys = np.take_along_axis(keys, order, axis=0)
-            for q, v in zip(queries["q"], queries["v"], strict=True):
-                near = _candidates(index, np.asarray(v), order, sorted_keys)
+            keys = np.stack(block["keys"].to_numpy()).reshape(-1)
+            order = np.argsort(keys, kind="stable")
+            keys, rows_of = keys[order], order // TABLES
+            for q, v, visits in zip(queries["q"], queries["v"], queries["visits"], strict=True):
+                near = _candidates(len(x), np.asarray(visits), keys, rows_of)
                 if near.sum() <= k:
                     near[:] = True
                 rows_near = np.flatnonzero(near)
-                score = x[rows_near] @ np.asarray(v)
+                # Candidates that are many are cheaper to rank in place than to gather.
+                score = (x @ np.asarray(v))[rows_near] if 4 * len(rows_near) > len(x) else x[rows_near] @ np.asarray(v)
                 if len(score) > k + 1:  # with all that tie with the last, but for rounding
                     least = np.partition(score, -(k + 1))[-(k + 1)]
                     kept = score >= least - 1e-9 * max(1.0, abs(least))
@@ -211,7 +222,7 @@ def nearest(
     def spread(n: int, name: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(max(0, n - 1)))).alias(name)
 
-    left = wanted.select("q", "v", F.expr(f"CAST(pmod(xxhash64(q), {max(1, query_blocks)}) AS INT)").alias("qb"), spread(blocks, "vb"))
+    left = probing.select("q", "v", "visits", F.expr(f"CAST(pmod(xxhash64(q), {max(1, query_blocks)}) AS INT)").alias("qb"), spread(blocks, "vb"))
     right = stored.select("g", "v", "keys", F.expr(f"CAST(pmod(xxhash64(g), {max(1, blocks)}) AS INT)").alias("vb"), spread(query_blocks, "qb"))
     matched = left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb")).applyInPandas(match, "q long, g long")
     both = matched.join(wanted.selectExpr("q", "v AS x"), "q").join(groups.selectExpr("g", "ids", "v AS y"), "g")
