@@ -90,44 +90,64 @@ def connected_components(links: DataFrame, staging: Staging, name: str = "cc") -
 
 
 def bucket_components(
-    members: DataFrame,
+    keyed: DataFrame,
     accept: Callable[[DataFrame, str], DataFrame],
     finish: Callable[[DataFrame], DataFrame],
     staging: Staging,
+    first: int,
 ) -> DataFrame:
     """``(id, component)`` of the ids that a link reaches, from candidates that meet in buckets.
 
-    ``members(bucket, id)`` are candidates; ``accept(pairs(a, b), name)`` returns the pairs that are links.
-    Not all mates of a bucket are paired: first every bucket compares its smallest id with the others
-    (a minimum combined before the shuffle, then a join that splits hot buckets), which is all there
-    is to do in buckets of two. ``finish(mates(bucket, id, c, hub))`` gets the buckets whose other mates
-    still lie in different components ``c`` and returns all links that are missing between these.
+    ``keyed(id, buckets)`` lists the buckets of each id; ids that share one are candidates.
+    ``accept(pairs(a, b), name)`` returns the pairs that are links. Not all mates of a bucket are paired:
+
+    1. In the ``first`` buckets of each id, every id is compared with one smaller id, the smallest that it
+       meets. That joins most of a large group with one pair a member.
+    2. Of all buckets, those with more than one component compare their smallest id with the smallest id
+       of each other component, which is all there is to do in buckets of two.
+    3. ``finish(mates(bucket, id, c, hub))`` gets the buckets whose mates still lie in different
+       components ``c`` and returns all links that are missing between these.
     """
-    sized = members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high")
-    )
-    shared = staging.keep(sized.where("low < high"), "buckets")
-    larger = shared.where("n > 2").selectExpr("bucket", "low AS hub")
-    rest = staging.keep(members.join(larger, "bucket").where("id > hub").select("bucket", "id", "hub").distinct(), "mates")
-    pairs = shared.where("n = 2").selectExpr("low AS a", "high AS b").union(rest.selectExpr("hub AS a", "id AS b"))
-    links = staging.keep(accept(pairs.distinct(), "star"), "links")
+
+    def meet(rows: DataFrame, turn: str) -> tuple[DataFrame, DataFrame]:
+        members = rows.select(F.explode("buckets").alias("bucket"), "id", "c")
+        sized = members.groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high"), F.min("c").alias("c0"), F.max("c").alias("c1")
+        )
+        shared = staging.keep(sized.where("c0 < c1").select("bucket", "n", "low", "high"), f"buckets-{turn}")
+        larger = shared.where("n > 2").selectExpr("bucket", "low AS hub")
+        mates = staging.keep(members.join(larger, "bucket").select("bucket", "id", "c", "hub").distinct(), f"mates-{turn}")
+        return shared.where("n = 2").selectExpr("low AS a", "high AS b"), mates
+
+    apart = keyed.selectExpr("id", "id AS c", f"slice(buckets, 1, {first}) AS buckets")
+    twos, mates = meet(apart, "some")
+    pairs = twos.union(mates.where("id > hub").selectExpr("hub AS a", "id AS b")).groupBy("b").agg(F.min("a").alias("a"))
+    links = staging.keep(accept(pairs.select("a", "b"), "some"), "links")
     components = connected_components(links, staging, "components")
+
     known = components.withColumnRenamed("component", "c")
-    labelled = rest.select("bucket", "id").join(known, "id", "left").selectExpr("bucket", "id", "coalesce(c, id) AS c")
-    split = labelled.groupBy("bucket").agg(F.min("id").alias("hub"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-    mates = staging.keep(labelled.join(split.where("c0 < c1").select("bucket", "hub"), "bucket"), "open-mates")
+    twos, mates = meet(keyed.join(known, "id", "left").selectExpr("id", "coalesce(c, id) AS c", "buckets"), "all")
+    others = mates.groupBy("bucket", "hub", "c").agg(F.min("id").alias("b")).where("hub < b").selectExpr("hub AS a", "b")
+    links = staging.keep(accept(twos.union(others).distinct(), "all"), "links-all")
+    if not links.isEmpty():
+        components = _joined(components, links, staging, "joined")
+        known = components.withColumnRenamed("component", "c")
+
+    labelled = mates.select("bucket", "id", "hub").join(known, "id", "left").selectExpr("bucket", "id", "coalesce(c, id) AS c", "hub")
+    split = labelled.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("bucket")
+    mates = staging.keep(labelled.join(split, "bucket"), "open-mates")
     if mates.isEmpty():
         return components
     more = staging.keep(finish(mates), "more-links")
-    return components if more.isEmpty() else _joined(components, more, staging)
+    return components if more.isEmpty() else _joined(components, more, staging, "rejoined")
 
 
-def _joined(components: DataFrame, links: DataFrame, staging: Staging) -> DataFrame:
+def _joined(components: DataFrame, links: DataFrame, staging: Staging, name: str) -> DataFrame:
     """Components after more links: only the components that the links touch are joined."""
     left, right = components.selectExpr("id AS a", "component AS ca"), components.selectExpr("id AS b", "component AS cb")
     ends = links.join(left, "a", "left").join(right, "b", "left").selectExpr("coalesce(ca, a) AS a", "coalesce(cb, b) AS b")
-    merged = connected_components(ends, staging, "merged").toDF("was", "now")
+    merged = connected_components(ends, staging, f"{name}-merged").toDF("was", "now")
     linked = links.selectExpr("explode(array(a, b)) AS id").distinct()
     everyone = components.union(linked.selectExpr("id", "id AS component"))
     everyone = everyone.groupBy("id").agg(F.min("component").alias("was"))
-    return staging.keep(everyone.join(merged, "was", "left").selectExpr("id", "coalesce(now, was) AS component"), "all-components")
+    return staging.keep(everyone.join(merged, "was", "left").selectExpr("id", "coalesce(now, was) AS component"), name)

@@ -25,6 +25,8 @@ SHINGLE = 5
 PLACES = 128
 BANDS = 32
 ROWS = PLACES // BANDS
+#: Bands that are compared first; sets at a similarity of 0.9 share one of them with probability 0.98.
+FIRST_BANDS = 4
 #: Links: 100 * intersection >= LINK * union.
 LINK = 75
 #: Two bits of every place prune pairs before the exact check. A pair at the link threshold has 24 of
@@ -283,8 +285,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         )
         return met.groupBy("cluster", "i", "j").applyInPandas(_compare, "a long, b long")
 
-    members = firsts.select(F.explode("bands").alias("bucket"), "id")
-    components = bucket_components(members, accept, finish, staging)
+    components = bucket_components(firsts.selectExpr("id", "bands AS buckets"), accept, finish, staging, FIRST_BANDS)
     reached = classes.join(components, "id", "left").selectExpr("c0", "c1", "coalesce(component, id) AS component_id")
     # A document's classes (more than one only where rows share a key) all lie in one component.
     out = signed.join(reached, ["c0", "c1"], "left").selectExpr(
