@@ -57,36 +57,39 @@ def lower_ascii(text: str) -> str:
 def connected_components(links: DataFrame, staging: Staging, name: str = "cc") -> DataFrame:
     """``(id, component)`` for every id that occurs in ``links(a, b)``; component: the smallest id reachable.
 
-    Each round gives an id the smallest label among itself and its neighbours (a minimum that
-    combines before the shuffle, so a hub with very many links is no single task's work) and then
-    follows the label one step further, which halves distances. Labels are stored after each round.
+    Each round, an id points to the smallest of itself and its neighbours (a minimum that combines
+    before the shuffle, so a hub with very many links is no single task's work), pointers are followed
+    to their ends by doubling, and links become links between ends; those inside one end are done. At
+    least half of the ids that still have links go in a round, and a star is done in one.
     Self-links and repeated links are harmless; links with a NULL end are ignored.
     """
-    links = links.where("a IS NOT NULL AND b IS NOT NULL AND a != b").select("a", "b")
-    both = staging.keep(links.union(links.select("b", "a")).distinct(), f"{name}-links")
-    labels = staging.keep(
-        both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).selectExpr("id", "least(id, m) AS component"),
-        f"{name}-0",
-    )
-    turn = 0
+    oriented = lambda df: df.where("a != b").selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
+    edges = staging.keep(oriented(links.where("a IS NOT NULL AND b IS NOT NULL")), f"{name}-links-0")
+    components, turn = None, 0
     while True:
+        lowest = edges.union(edges.select("b", "a")).groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
+        ends = staging.keep(lowest.selectExpr("id", "least(id, m) AS end"), f"{name}-{turn}-ends-0")
+        doubled = 0
+        while True:
+            further = ends.selectExpr("id AS end", "end AS next")
+            doubled += 1
+            step = ends.join(further, "end").selectExpr("id", "next AS end", "next < end AS changed")
+            stored = staging.keep(step, f"{name}-{turn}-ends-{doubled}")
+            ends = stored.select("id", "end")
+            staging.drop(f"{name}-{turn}-ends-{doubled - 1}")
+            if stored.where("changed").isEmpty():
+                break
+        if components is None:
+            components = ends.withColumnRenamed("end", "component")
+        else:
+            moved = components.join(ends.withColumnRenamed("id", "component"), "component", "left")
+            components = staging.keep(moved.selectExpr("id", "coalesce(end, component) AS component"), f"{name}-{turn}")
+        between = edges.join(ends.selectExpr("id AS a", "end AS ea"), "a").join(ends.selectExpr("id AS b", "end AS eb"), "b")
         turn += 1
-        offered = (
-            both.join(labels.withColumnRenamed("id", "b"), "b")
-            .groupBy(F.col("a").alias("id"))
-            .agg(F.min("component").alias("m"))
-        )
-        lowered = labels.join(offered, "id").selectExpr("id", "component AS was", "least(component, m) AS now")
-        further = labels.selectExpr("id AS now", "component AS next")
-        step = lowered.join(further, "now", "left").selectExpr(
-            "id", "least(now, coalesce(next, now)) AS component", "least(now, coalesce(next, now)) < was AS changed"
-        )
-        stored = staging.keep(step, f"{name}-{turn}")
-        staging.drop(f"{name}-{turn - 1}")
-        labels = stored.select("id", "component")
-        if stored.where("changed").isEmpty():
-            staging.drop(f"{name}-links")
-            return labels
+        edges = staging.keep(oriented(between.selectExpr("ea AS a", "eb AS b")), f"{name}-links-{turn}")
+        staging.drop(f"{name}-links-{turn - 1}")
+        if edges.isEmpty():
+            return components
 
 
 def bucket_components(
