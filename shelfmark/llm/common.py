@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -19,17 +20,20 @@ SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 class Staging:
     """Intermediate tables of one run, as Parquet in the folder ``spark.checkpoint.dir`` names.
 
-    Written tables cut the lineage and outlive lost executors. Only where the setting is absent
-    (tests on one machine) a temporary folder is made and set.
+    Written tables cut the lineage and outlive lost executors. The setting is never changed; where it is
+    absent, a session on one machine (tests) uses a temporary folder and any other raises an error.
+    All tables that are left are deleted when the driver's Python ends.
     """
 
     def __init__(self, spark: SparkSession):
         base = spark.conf.get(CHECKPOINT_DIR, None)
         if not base:
+            if not spark.sparkContext.master.startswith("local["):
+                raise ValueError(f"{CHECKPOINT_DIR} must name a folder that the driver and all executors share")
             base = tempfile.mkdtemp(prefix="staging-")
-            spark.conf.set(CHECKPOINT_DIR, base)
         self.spark = spark
         self.folder = f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+        atexit.register(_delete, spark, self.folder)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return the stored table."""
@@ -39,8 +43,14 @@ class Staging:
 
     def drop(self, name: str) -> None:
         """Delete a table nothing reads any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(self.spark, f"{self.folder}/{name}")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    if spark._jvm is None:
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_words(text: str) -> str:

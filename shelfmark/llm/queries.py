@@ -8,11 +8,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import ann, bpe, fingerprint, katz, line_dedup, minhash, mixing, sharding, substring, toxicity
+from shelfmark.llm import (
+    alignment,
+    ann,
+    bpe,
+    fingerprint,
+    katz,
+    line_dedup,
+    minhash,
+    mining,
+    mixing,
+    packing,
+    sharding,
+    substring,
+    toxicity,
+)
 
 #: Bytes of text a shard may hold.
 SHARD_BYTES = 32 * 1024 * 1024
 VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
+#: Tokens of a packed sequence.
+SEQUENCE = 2048
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -75,6 +93,20 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op11_pack(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents"), public_tokenizers.path(BYTE_VOCABULARY), SEQUENCE)
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    relabel = "CASE WHEN id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+    return mining.hard_negatives(_table(spark, folder, "embeddings"), "id % 100 = 0", relabel)
+
+
+def op13_align(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    return alignment.align_tokens(documents, public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.path(PIECE_VOCABULARY))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -86,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": op8_ann,
     "op9_sharding": op9_sharding,
     "op10_minhash": op10_minhash,
+    "op11_pack": op11_pack,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_align": op13_align,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_hard_negatives": mining.QUERY_SQL}
