@@ -12,16 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.measures import safe_ratio
+from shelfmark.operators.lifetime import item_range
 from shelfmark.operators.similarity import rank_pivot
 
 
 def multi_item_orders(valid: DataFrame, item: str, n: int = 2) -> DataFrame:
     """Orders with at least ``n`` different items."""
     if n == 2:
-        enough = F.expr(f"min({item}) < max({item}) AS enough")
+        rows = valid.selectExpr("parent_order_id", *item_range(item, "item"))
+        enough = F.expr("min(low_item) < max(high_item) AS enough")
     else:
-        enough = F.expr(f"count(DISTINCT {item}) >= {n} AS enough")
-    return valid.groupBy("parent_order_id").agg(enough).filter("enough").select("parent_order_id")
+        rows, enough = valid, F.expr(f"count(DISTINCT {item}) >= {n} AS enough")
+    return rows.groupBy("parent_order_id").agg(enough).filter("enough").select("parent_order_id")
 
 
 def basket_patterns(valid: DataFrame, this_year: str) -> DataFrame:

@@ -39,22 +39,15 @@ def valid_member_order_filter(lines: DataFrame) -> DataFrame:
     return lines.filter(VALID_MEMBER_ORDER)
 
 
-def spread_order_id(lines: DataFrame) -> str:
-    """SQL for the order id; lines without one get unmatchable keys (NUL byte + row hash) that spread."""
-    return f"coalesce(parent_order_id, concat(chr(0), CAST(xxhash64({', '.join(lines.columns)}) AS STRING)))"
-
-
 def attach_member_bridge(lines: DataFrame, bridge: DataFrame) -> DataFrame:
     """Left join on the member reference.
 
-    Lines without a reference may be a large share of the fact; as NULL keys they would all
-    hash to one task. They get an unmatchable key of their own (NUL byte + order id), which
-    spreads them evenly. Heavy references that do exist are split by AQE's skew join.
+    The keys are bare columns, so nothing else has to be read and partitionings can be reused. Lines
+    without a reference may be a large share of the fact and, as NULL keys, meet in one partition, as
+    those of a heavy reference do; AQE splits such partitions on the side of the lines, by measured size.
     """
-    keyed = bridge.withColumnRenamed("member_id", "bridge_member_id")
-    own_key = f"coalesce(CAST(member_ref AS STRING), concat(chr(0), {spread_order_id(lines)}))"
-    same = f"{own_key} = CAST(bridge_member_id AS STRING)"
-    return lines.join(keyed, F.expr(same), "left").drop("bridge_member_id")
+    keyed = bridge.withColumn("bridge_member_id", F.expr("CAST(member_id AS STRING)")).drop("member_id")
+    return lines.join(keyed, F.expr("CAST(member_ref AS STRING) = bridge_member_id"), "left").drop("bridge_member_id")
 
 
 def city_maturity(wh: Warehouse) -> DataFrame:

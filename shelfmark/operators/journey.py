@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.conventions import Conventions
 from shelfmark.functions.measures import safe_ratio
+from shelfmark.operators.lifetime import item_range
 from shelfmark.operators.similarity import rank_pivot
 
 
@@ -29,12 +30,14 @@ def order_rank_range(ranks: DataFrame) -> DataFrame:
 def order_member_lines(valid: DataFrame, this_year: str) -> DataFrame:
     """One row per (order, member, line) of valid lines: everything baskets, ranks and journeys
     need to know about them."""
-    return valid.groupBy("parent_order_id", "member_id", "product_line").agg(
+    numbered = valid.selectExpr("*", *item_range("sku_id", "sku_id"))
+    reduced = numbered.groupBy("parent_order_id", "member_id", "product_line").agg(
         F.expr("min(order_paid_time) AS order_paid_time"),
         F.expr(f"max({this_year}) AS recent"),
-        F.expr("min(sku_id) AS min_sku_id"),
-        F.expr("max(sku_id) AS max_sku_id"),
+        F.expr("min(low_sku_id) AS low_sku_id"),
+        F.expr("max(high_sku_id) AS high_sku_id"),
     )
+    return reduced.selectExpr("*", *item_range("product_line", "product_line"))
 
 
 def member_lines(per_order: DataFrame, ranks: DataFrame) -> DataFrame:

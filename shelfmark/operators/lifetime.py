@@ -7,7 +7,7 @@ into evenly sized, correctly ordered slots, so that no member has to be ranked i
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,70 +16,72 @@ TIE = "substring(md5(parent_order_id), 1, 8)"
 SLOT_DIGITS = 3  # 4,096 slots per instant
 
 
-def _extremes(items: Sequence[str]) -> list[str]:
-    return [f"{how}({how}_{i}) AS {how}_{i}" for i in items for how in ("min", "max")]
+# Numbers that order as time and tie do, so that an extremum needs no text in an aggregation buffer.
+_TIE_NUMBER = f"CAST(conv({TIE}, 16, 10) AS BIGINT)"
+_MICROS = (
+    "(CAST(unix_date(CAST(first_paid_time AS DATE)) AS BIGINT) * 86400000000L + hour(first_paid_time) * 3600000000L"
+    " + minute(first_paid_time) * 60000000L + CAST(extract(SECOND FROM first_paid_time) * 1000000L AS BIGINT))"
+)
+_PLACE = (
+    f"CAST(coalesce({_MICROS}, -9000000000000000000) AS DECIMAL(20,0)) * CAST(4294967296 AS DECIMAL(10,0))"
+    f" + CAST(coalesce({_TIE_NUMBER}, -1) AS DECIMAL(10,0))"
+)
 
 
-def first_paid_time(valid: DataFrame, items: Mapping[str, tuple[str, str]] = {}) -> DataFrame:
-    """One row per (order, member): earliest payment. ``items`` names columns by their lowest
-    and highest source (often the same column) and adds ``min_`` and ``max_`` of them, enough
-    to tell whether an order holds two different ones."""
-    spread = [
-        e
-        for name, (low, high) in items.items()
-        for e in (f"min({low}) AS min_{name}", f"max({high}) AS max_{name}")
-    ]
+def first_paid_time(valid: DataFrame, items: Sequence[str] = ()) -> DataFrame:
+    """One row per (order, member): earliest payment.
+
+    Each of ``items`` (columns ``low_x`` and ``high_x`` of numbers, as ``item_range`` makes them) is
+    carried along as the range over the rows.
+    """
+    ranges = [e for i in items for e in (f"min(low_{i}) AS low_{i}", f"max(high_{i}) AS high_{i}")]
     return valid.groupBy("parent_order_id", "member_id").agg(
-        *map(F.expr, ["min(order_paid_time) AS first_paid_time", *spread])
+        *map(F.expr, ["min(order_paid_time) AS first_paid_time", *ranges])
     )
 
 
+def item_range(item: str, name: str) -> list[str]:
+    """SQL for a 64-bit number of an item as ``low_`` and ``high_`` column: rows hold two different known
+    items where the lowest number is below the highest (equal numbers of different items: one in 10^19)."""
+    number = f"CASE WHEN {item} IS NOT NULL THEN xxhash64({item}) END"
+    return [f"{number} AS low_{name}", f"{number} AS high_{name}"]
+
+
+def first_orders(entries: DataFrame) -> DataFrame:
+    """The first order of each member, as ``(parent_order_id, member_id)``.
+
+    Time and tie are one number, whose minimum per member combines map-side in a hash aggregation, so a
+    member (or the group of unidentified members) with a large share of all orders costs no more than any
+    other. Only the entries that have that number, nearly always one a member, are sorted by order id.
+    """
+    placed = entries.selectExpr("parent_order_id", "member_id", f"{_PLACE} AS place")
+    lowest = placed.groupBy(F.expr("member_id AS of_member")).agg(F.expr("min(place) AS lowest"))
+    candidates = placed.join(lowest, F.expr("member_id <=> of_member AND place = lowest"))
+    best = "row_number() OVER (PARTITION BY member_id, place ORDER BY parent_order_id) AS turn"
+    return candidates.selectExpr("parent_order_id", "member_id", best).filter("turn = 1").drop("turn")
+
+
 def order_rank_flags(entries: DataFrame, items: Sequence[str] = ()) -> DataFrame:
     """Per order: how many members have it ranked, and for how many it is the first order.
 
     Only "first or later" is needed by the scorecards, and the first order is a minimum.
-    Every (order, member) row therefore votes twice in one aggregation - for its order's
-    number of members and for its member's earliest order - and the winners are handed back
-    to their orders by a second one. Both combine map-side, so a member (or the group of
-    unidentified members) owning a large share of all orders costs no more than any other.
     """
-    earliest = (
-        f"named_struct('paid', first_paid_time, 'tie', {TIE}, 'order_id', parent_order_id)"
-    )
-    spread = [f"{how}_{i}" for i in items for how in ("min", "max")]
-    own = "".join(f", '{c}', {c}" for c in spread)
-    none = "".join(f", '{c}', CASE WHEN false THEN {c} END" for c in spread)
-    votes = f"""inline(array(
-      named_struct('kind', 'order', 'key', parent_order_id, 'first', CASE WHEN false THEN {earliest} END{own}),
-      named_struct('kind', 'member', 'key', member_id, 'first', {earliest}{none})))"""
-    counted = (
-        entries.selectExpr(votes)
-        .groupBy("kind", "key")
-        .agg(*map(F.expr, ["count(*) AS n", "min(first) AS first", *_extremes(items)]))
+    ranges = [f"{side}_{i}" for i in items for side in ("low", "high")]
+    none = [f"CAST(NULL AS BIGINT) AS {r}" for r in ranges]
+    votes = entries.selectExpr("parent_order_id AS ranked_order_id", "0 AS firsts", "1 AS entries", *ranges).unionAll(
+        first_orders(entries).selectExpr("parent_order_id", "1", "0", *none)
     )
-    per_order = (
-        counted.selectExpr(
-            "CASE WHEN kind = 'order' THEN key ELSE first.order_id END AS ranked_order_id",
-            "CASE WHEN kind = 'order' THEN n ELSE 0 END AS entries",
-            "CASE WHEN kind = 'order' THEN 0 ELSE 1 END AS firsts",
-            *spread,
-        )
-        .groupBy("ranked_order_id")
-        .agg(
-            *map(
-                F.expr,
-                [
-                    "CAST(sum(firsts) AS INT) AS n_first",
-                    "CAST(sum(entries) - sum(firsts) AS INT) AS n_repeat",
-                    *_extremes(items),
-                ],
-            )
+    several = [f"min(low_{i}) < max(high_{i}) AS several_{i}" for i in items]
+    return votes.groupBy("ranked_order_id").agg(
+        *map(
+            F.expr,
+            [
+                "CAST(sum(firsts) AS INT) AS n_first",
+                "CAST(sum(entries) - sum(firsts) AS INT) AS n_repeat",
+                *several,
+            ],
         )
     )
-    if not items:
-        return per_order
-    several = [f"min_{i} < max_{i} AS several_{i}" for i in items]
-    return per_order.selectExpr("ranked_order_id", "n_first", "n_repeat", *several)
 
 
 def lifetime_order_rank(entries: DataFrame) -> DataFrame:
@@ -136,8 +138,20 @@ def lifetime_order_rank(entries: DataFrame) -> DataFrame:
     )
 
 
-def previous_purchase_date(days: DataFrame) -> DataFrame:
-    """Previous purchase day per member over distinct days (at most one row per day)."""
-    return days.selectExpr(
-        "*", "lag(paid_date) OVER (PARTITION BY member_id ORDER BY paid_date) AS prev_paid_date"
+def two_order_days(lines: DataFrame) -> DataFrame:
+    """``(member_id, days)`` of the members with exactly two valid orders: all their distinct payment days,
+    in order. A member has at most one entry for each day of the calendar."""
+    valid = "coalesce(is_member_order AND is_effective, false) AND parent_order_id IS NOT NULL"
+    marks = (
+        "inline(array_compact(array(named_struct('day', paid_date, 'order_id', CAST(NULL AS STRING)),"
+        f" CASE WHEN {valid} THEN named_struct('day', CAST(NULL AS DATE), 'order_id', parent_order_id) END)))"
     )
+    per_member = lines.selectExpr("member_id", marks).distinct().groupBy("member_id")
+    counted = per_member.agg(F.expr("count(order_id) AS orders"), F.expr("array_sort(collect_list(day)) AS days"))
+    return counted.filter("orders = 2").select("member_id", "days")
+
+
+def previous_purchase_date(members: DataFrame) -> DataFrame:
+    """One row per member and purchase day, with the member's purchase day before it."""
+    gap = "named_struct('paid_date', day, 'prev_paid_date', CASE WHEN i > 0 THEN days[i - 1] END)"
+    return members.selectExpr("member_id", f"inline(transform(days, (day, i) -> {gap}))")

@@ -1,8 +1,9 @@
 """The dimension scorecard: sales against plan and last year, and 23 member metrics.
 
-Each block reads its fact once. A line is turned into one row per branch it counts in - this
-year or last year, own dimension value or total - so grouped rows and the total row, and both
-years, come out of a single aggregation.
+Each block reads its fact once, and both years, grouped rows and the total row come out of the same
+aggregations. Distinct counts are not left to ``count(DISTINCT ...)``, which multiplies rows once per
+counted column: lines are reduced to what is counted (an order or member under one value of the
+dimension) with a bit per condition it meets, and bits are counted after that.
 """
 
 from __future__ import annotations
@@ -29,9 +30,9 @@ from shelfmark.operators.conform import (
     VALID_MEMBER_ORDER,
     attach_city_maturity,
     conform_order_lines,
-    spread_order_id,
 )
 from shelfmark.operators.lifetime import first_paid_time, order_rank_flags
+from shelfmark.sources.shared import relation, shares
 from shelfmark.sources.tables import Warehouse
 
 
@@ -158,18 +159,22 @@ class ScorecardRun:
             branches.append(Branch(own, period, False, labels))
             branches.append(Branch(total, period, True, _total_labels(names, self.conv)))
         carry = ["parent_order_id", f"{signed_amount()} AS net"]
+        # One row per order under each value first, then plain sums: no order is counted twice.
+        per_order = (
+            branch_rows(lines, branches, carry)
+            .groupBy("period", "is_total", *names, "parent_order_id")
+            .agg(F.expr(f"CAST(sum(net) AS {MONEY_TOTAL}) AS net"), F.expr("count(*) AS n"))
+        )
         aggregates = [
             e
             for p in PERIODS
             for e in (
                 f"CAST(sum(net) FILTER (WHERE period = '{p}') AS {MONEY_TOTAL}) AS {p}_sales",
-                f"count(DISTINCT parent_order_id) FILTER (WHERE period = '{p}') AS {p}_tickets",
-                f"count_if(period = '{p}') AS {p}_rows",
+                f"count(parent_order_id) FILTER (WHERE period = '{p}') AS {p}_tickets",
+                f"coalesce(sum(n) FILTER (WHERE period = '{p}'), 0) AS {p}_rows",
             )
         ]
-        counted = (
-            branch_rows(lines, branches, carry).groupBy("is_total", *names).agg(*map(F.expr, aggregates))
-        )
+        counted = per_order.groupBy("is_total", *names).agg(*map(F.expr, aggregates))
         # The denominator of the sales share: one number from the grouped rows, whose exchange is reused.
         in_share = f"NOT is_total AND {spec.share_key} IS NOT NULL AND ty_rows > 0"
         all_sales = counted.filter(in_share).agg(F.expr("sum(ty_sales)")).scalar()
@@ -222,46 +227,54 @@ class ScorecardRun:
     def member_fact(self) -> DataFrame:
         """Store lines of both periods with member, attribute and order-rank columns."""
         spec, cal, extra = self.spec, self.cal, self.extra
-        columns = ["sales_qty", "order_amt", "is_member_order", "is_effective", "sku_id", *spec.kpi_columns]
+        if extra == ExtraCounts():
+            # The same for every scorecard but for its columns; a stored one has those of all.
+            columns = MEMBER_FACT if shares(self.wh) else spec.kpi_columns
+            lines = relation(self.wh, "member_fact", lambda: self._ranked_lines(columns))
+        else:
+            lines = self._ranked_lines([*spec.kpi_columns, *(("city", "city_tier") if extra.needs_city else ())])
+        lines = self.with_attributes(lines, "kpi")
         if extra.needs_city:
-            columns += ["city", "city_tier"]
+            lines = attach_city_maturity(lines, self.wh)
+        new = "new_ty" if spec.bound_new_members else "new_ty_open"
+        return lines.withColumn("new_ty", F.col(new)).drop("new_ty_open")
+
+    def _ranked_lines(self, columns: Sequence[str]) -> DataFrame:
+        cal, extra = self.cal, self.extra
         bridge = bridge_with(
             self.wh.table("member_bridge", ["id", "member_id"]),
-            member_join_flags(self.wh, cal, self.conv, spec.bound_new_members),
+            member_join_flags(self.wh, cal, self.conv),
             *([extra.bridge_columns] if extra.bridge_columns is not None else []),
         )
         paid = "order_paid_date"
         recent = f"({ytd_window(paid, cal, TY, bounded=False)} OR {ytd_window(paid, cal, LY)})"
-        lines = conform_order_lines(
-            self.wh, cal, self.conv, [self.conv.store_channel], columns, bridge, recent
-        )
-        lines = self.with_attributes(lines, "kpi")
-        if extra.needs_city:
-            lines = attach_city_maturity(lines, self.wh)
+        wanted = ["sales_qty", "order_amt", "is_member_order", "is_effective", "sku_id", *columns]
+        lines = conform_order_lines(self.wh, cal, self.conv, [self.conv.store_channel], wanted, bridge, recent)
         ranked = extra.order_flags
         if ranked is None:
             ranked = order_rank_flags(first_paid_time(valid_store_lines(self.wh, cal, self.conv)))
-        return lines.join(ranked, F.expr(f"{spread_order_id(lines)} = ranked_order_id"), "left")
+        return lines.join(ranked, F.expr("parent_order_id = ranked_order_id"), "left")
 
     def member_kpis(self, fact: DataFrame | None = None) -> DataFrame:
         """Base counts and sales per key and in total, columns prefixed ``ty_`` and ``ly_``.
 
-        The distinct counts use FILTER, so rows are expanded once per counted column (member,
-        order, canonical member), not once per count.
+        1. Lines are reduced to one row per (period, value, order, member), with the sums and a bit for
+           each count whose condition they meet. After a shuffled join on the order this needs no
+           further shuffle.
+        2. A reduced row enters once for each thing that is counted (order, member, canonical member),
+           under its value and in the total; equal things merge by or-ing their bits.
+        3. What is left is one row per thing and value: bits are counted, sums added up.
         """
         spec, cal, extra = self.spec, self.cal, self.extra
         fact = self.member_fact() if fact is None else fact
-        branches = []
+        keys = spec.keys
+        periods = []
         for period in PERIODS:
             inside = ytd_window("order_paid_date", cal, period, bounded=False)
-            shared = {"is_new": f"coalesce(new_{period}, false)"}
             labels = {d.name: d.kpi(cal, period) for d in spec.dimensions}
-            branches.append(Branch(inside, period, False, labels | shared))
-            branches.append(Branch(inside, period, True, _total_labels(spec.keys, self.conv) | shared))
+            periods.append(Branch(inside, period, False, {**labels, "is_new": f"coalesce(new_{period}, false)"}))
         carry = [
-            "member_detail_id",
-            "parent_order_id",
-            "member_id",
+            *COUNTED,
             f"{signed_amount()} AS net",
             "coalesce(is_member_order, false) AS member_order",
             f"coalesce({VALID_MEMBER_ORDER}, false) AS valid",
@@ -270,25 +283,41 @@ class ScorecardRun:
             "greatest(coalesce(n_first + n_repeat, 0), 1) AS fan",
             *extra.line_columns,
         ]
-        counts = {
-            n: f"count(DISTINCT {what}) FILTER (WHERE {condition})"
-            for n, (what, condition) in {**BASE_COUNTS, **extra.counts}.items()
-        }
+        counts = {**BASE_COUNTS, **extra.counts}
+        bits = {n: 1 << i for i, n in enumerate(counts)}
+        mask = " | ".join(f"CASE WHEN {test} THEN {bits[n]}L ELSE 0L END" for n, (_, test) in counts.items())
         sales = {n: counted_sales(condition, times) for n, (condition, times) in BASE_SALES.items()}
-        measures = {**counts, **sales, "lines": "count(*)"}
-        by_period = (
-            branch_rows(fact, branches, carry)
-            .groupBy("period", "is_total", *spec.keys)
-            .agg(*[F.expr(f"{e} AS {n}") for n, e in measures.items()])
+        reduced = (
+            branch_rows(fact, periods, carry)
+            .groupBy("period", *keys, *COUNTED)
+            .agg(*map(F.expr, [f"bit_or({mask}) AS bits", *[f"{e} AS {n}" for n, e in sales.items()], "count(*) AS lines"]))
         )
-        # Lay the two periods side by side; there is one row per period and key by now.
-        sides = [
-            f"max({n}) FILTER (WHERE period = '{p}') AS {p}_{n}"
-            for p in PERIODS
-            for n in measures
-            if p == TY or n not in extra.counts
-        ]
-        return by_period.groupBy("is_total", *spec.keys).agg(*map(F.expr, sides))
+        own, total = {k: k for k in keys}, _total_labels(keys, self.conv)
+        things = []
+        for thing in COUNTED:
+            mine = sum(bits[n] for n, (what, _) in counts.items() if what == thing)
+            # The sums go with one of the things only.
+            sums = [n if thing == COUNTED[0] else f"CAST(NULL AS {MONEY_TOTAL})" for n in sales]
+            lines = "lines" if thing == COUNTED[0] else "0L"
+            for is_total, labels in (("false", own), ("true", total)):
+                fields = {"is_total": is_total, **{f"of_{k}": v for k, v in labels.items()}}
+                fields |= {"thing": f"'{thing}'", "id": thing, "own_bits": f"CASE WHEN {thing} IS NULL THEN 0L ELSE bits & {mine}L END"}
+                fields |= {f"sum_{n}": e for n, e in zip(sales, sums, strict=True)} | {"n": lines}
+                things.append("named_struct({})".format(", ".join(f"'{n}', {e}" for n, e in fields.items())))
+        merged = (
+            reduced.selectExpr("period", f"inline(array({', '.join(things)}))")
+            .groupBy("period", "is_total", *[f"of_{k}" for k in keys], "thing", "id")
+            .agg(*map(F.expr, ["bit_or(own_bits) AS bits", *[f"sum(sum_{n}) AS {n}" for n in sales], "sum(n) AS lines"]))
+        )
+        # Both periods side by side.
+        sides = []
+        for p in PERIODS:
+            for name in counts:
+                if p == TY or name not in extra.counts:
+                    sides.append(f"count_if(bits & {bits[name]}L <> 0) FILTER (WHERE period = '{p}') AS {p}_{name}")
+            sides += [f"CAST(sum({n}) FILTER (WHERE period = '{p}') AS {MONEY_TOTAL}) AS {p}_{n}" for n in sales]
+            sides.append(f"sum(lines) FILTER (WHERE period = '{p}') AS {p}_lines")
+        return merged.groupBy("is_total", *[F.col(f"of_{k}").alias(k) for k in keys]).agg(*map(F.expr, sides))
 
     # -- assembly ------------------------------------------------------------------------
 
@@ -304,14 +333,16 @@ class ScorecardRun:
         )
 
 
-def member_join_flags(wh: Warehouse, cal: ReportCalendar, conv: Conventions, bounded: bool) -> DataFrame:
-    """Per member id (as a number): joined through a store this year / last year."""
-    ty, ly = ytd_window("join_time", cal, TY, bounded), ytd_window("join_time", cal, LY)
+def member_join_flags(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
+    """Per member id (as a number): joined through a store this year (before ``as_of``, or open-ended)
+    and last year."""
+    ty, ly = ytd_window("join_time", cal, TY), ytd_window("join_time", cal, LY)
+    open_ty = ytd_window("join_time", cal, TY, bounded=False)
     return (
         wh.table("member", ["member_detail_id", "join_time", "reg_channel"])
-        .filter(f"reg_channel LIKE '{conv.registration_like}' AND ({ty} OR {ly})")
+        .filter(f"reg_channel LIKE '{conv.registration_like}' AND ({open_ty} OR {ly})")
         .groupBy(F.expr("try_cast(member_detail_id AS BIGINT) AS member_key"))
-        .agg(F.expr(f"max({ty}) AS new_ty"), F.expr(f"max({ly}) AS new_ly"))
+        .agg(F.expr(f"max({ty}) AS new_ty"), F.expr(f"max({open_ty}) AS new_ty_open"), F.expr(f"max({ly}) AS new_ly"))
     )
 
 
@@ -334,6 +365,10 @@ def valid_store_lines(
     return conform_order_lines(wh, cal, conv, [conv.store_channel], wanted, where=VALID_MEMBER_ORDER)
 
 
+# Source columns of the shared fact beyond the common ones: every scorecard's keys.
+MEMBER_FACT = ("product_line",)
+# What is counted, by id.
+COUNTED = ("parent_order_id", "member_detail_id", "member_id")
 # Distinct counts the 23 metrics are made of: name -> (what is counted, condition).
 BASE_COUNTS: dict[str, tuple[str, str]] = {
     "shoppers": ("member_detail_id", "valid"),

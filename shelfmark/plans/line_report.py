@@ -20,6 +20,7 @@ from shelfmark.operators.scorecard import (
     valid_store_lines,
 )
 from shelfmark.plans.scorecards import STORE_BY_LINE
+from shelfmark.sources.shared import relation, shares
 from shelfmark.sources.staging import stage
 from shelfmark.sources.tables import Warehouse
 
@@ -45,11 +46,8 @@ def this_year_lines(cal: ReportCalendar) -> str:
     return ytd_window("order_paid_date", cal, TY, bounded=False)
 
 
-# What makes an order a bundle, over the rows of ``order_member_lines``.
-ORDER_ITEMS = {
-    "sku_id": ("min_sku_id", "max_sku_id"),
-    "product_line": ("product_line", "product_line"),
-}
+# What makes an order a bundle: number ranges of ``order_member_lines``.
+ORDER_ITEMS = ("sku_id", "product_line")
 
 
 def store_order_lines(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
@@ -59,7 +57,8 @@ def store_order_lines(wh: Warehouse, cal: ReportCalendar, conv: Conventions) ->
     that the order lines are scanned and joined to the members once instead of per block.
     """
     valid = valid_store_lines(wh, cal, conv, ["product_line", "sku_id"])
-    return stage(journey.order_member_lines(valid, this_year_lines(cal)))
+    reduced = journey.order_member_lines(valid, this_year_lines(cal))
+    return relation(wh, "order_member_lines", lambda: reduced) if shares(wh) else stage(reduced)
 
 
 def line_extras(
@@ -72,7 +71,7 @@ def line_extras(
         line_columns=(*BUNDLE_RATES, *profile.PROFILE_LINE_COLUMNS),
         needs_city=True,
         bridge_columns=profile.member_profile(wh, cal).drop("tier_code", "has_birthday"),
-        order_flags=order_rank_flags(first_paid_time(order_lines, ORDER_ITEMS), list(ORDER_ITEMS)),
+        order_flags=order_rank_flags(first_paid_time(order_lines, ORDER_ITEMS), ORDER_ITEMS),
     )
 
 

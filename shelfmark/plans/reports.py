@@ -11,7 +11,8 @@ from shelfmark.functions import segments
 from shelfmark.functions.windows import in_calendar_year
 from shelfmark.operators import members, products, similarity
 from shelfmark.operators.conform import VALID_MEMBER_ORDER, conform_order_lines
-from shelfmark.operators.lifetime import previous_purchase_date
+from shelfmark.operators.lifetime import previous_purchase_date, two_order_days
+from shelfmark.sources.shared import relation
 from shelfmark.sources.tables import Warehouse, latest_snapshot
 
 _MEASURED = ["sales_qty", "order_amt", "product_line", "sku_id"]
@@ -45,35 +46,37 @@ def valid_omnichannel_lines(wh: Warehouse, cal: ReportCalendar, conv: Convention
     return conform_order_lines(wh, cal, conv, conv.all_channels, columns, where=VALID_MEMBER_ORDER)
 
 
+def shared_member_base(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
+    return relation(wh, "member_base", lambda: members.member_base(valid_omnichannel_lines(wh, cal, conv), cal))
+
+
 def member_frequency_distribution(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
     """Members by number of orders, and how many of them bought this calendar year."""
-    base = members.member_base(valid_omnichannel_lines(wh, cal, conv), cal)
+    base = shared_member_base(wh, cal, conv)
     return members.member_distribution(base, "member_frequency", 5, "member_frequency")
 
 
 def member_line_count_distribution(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
     """Share of members by number of different product lines."""
-    base = members.member_base(valid_omnichannel_lines(wh, cal, conv), cal)
+    base = shared_member_base(wh, cal, conv)
     return members.member_distribution(base, "line_count", 5, "line_count").select("line_count", "member_share")
 
 
 def member_sku_count_distribution(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
     """Share of members by number of different SKUs."""
-    base = members.member_base(valid_omnichannel_lines(wh, cal, conv), cal)
+    base = shared_member_base(wh, cal, conv)
     return members.member_distribution(base, "sku_count", 10, "sku_count").select("sku_count", "member_share")
 
 
 def purchase_days(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:
     """Distinct payment days, with the previous one, of members with exactly two valid orders.
 
-    All eligible lines give days, returns and invalid orders included. Days are made distinct
-    before the semi join, so a busy member is a few rows per task.
+    All eligible lines give days, returns and invalid orders included. One scan gives both: a line is a
+    day and, if valid, an order of its member; equal ones merge before they meet at the member.
     """
-    base = members.member_base(valid_omnichannel_lines(wh, cal, conv), cal)
-    twice = base.filter("member_frequency = 2").selectExpr("member_id AS twice_member")
-    lines = conform_order_lines(wh, cal, conv, conv.all_channels, [])
-    days = lines.filter("member_id IS NOT NULL").select("member_id", "paid_date").distinct()
-    return previous_purchase_date(days.join(twice, F.expr("member_id = twice_member"), "left_semi"))
+    columns = ["is_member_order", "is_effective"]
+    lines = conform_order_lines(wh, cal, conv, conv.all_channels, columns).filter("member_id IS NOT NULL")
+    return previous_purchase_date(two_order_days(lines))
 
 
 def repurchase_gap_distribution(wh: Warehouse, cal: ReportCalendar, conv: Conventions) -> DataFrame:

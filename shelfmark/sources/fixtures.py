@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from shelfmark.calendar import ReportCalendar
 from shelfmark.functions import segments
+from shelfmark.operators.lifetime import item_range
 
 FIXTURE_CALENDAR = ReportCalendar.for_date(
     dt.date(2001, 7, 1),
@@ -189,9 +190,12 @@ class FixtureWarehouse:
         return self._read("nation").filter("n_regionkey IN (0, 1, 2)").selectExpr(*_pick(CITY_TYPE, columns))
 
     def _line_similarity(self, columns: Sequence[str]) -> DataFrame:
-        if list(columns) == ["update_date"]:  # both snapshots have the dates below, whatever the scores
-            dated = f"inline(array(named_struct('update_date', {SNAPSHOT_NEW}), named_struct('update_date', {SNAPSHOT_OLD})))"
-            return self._store_sales(["parent_order_id"]).limit(1).selectExpr(dated)
+        if list(columns) == ["update_date"]:
+            # Both dates exist where any order has two different lines; no score is needed to tell.
+            sold = self._store_sales(["parent_order_id", "product_line"]).selectExpr("parent_order_id", *item_range("product_line", "line"))
+            pairs = sold.groupBy("parent_order_id").agg(F.expr("min(low_line) < max(high_line) AS paired")).filter("paired")
+            dates = f"inline(array(named_struct('update_date', {SNAPSHOT_NEW}), named_struct('update_date', {SNAPSHOT_OLD})))"
+            return pairs.selectExpr(dates).distinct()
         sales = self._store_sales(["parent_order_id", "product_line"])
         items = sales.selectExpr("parent_order_id", "product_line AS item").filter("item IS NOT NULL")
         return _similarity(items, "line1", "line2").select(*columns)

@@ -50,6 +50,10 @@ SCHEMAS: dict[str, str] = {
 }
 
 
+#: Masters and the key that must be unique, or joins to them would repeat lines.
+UNIQUE = {"product": "sku_id", "city_type": "city"}
+
+
 class Warehouse(Protocol):
     """Anything that hands out the tables of ``SCHEMAS`` by name."""
 
@@ -77,6 +81,8 @@ class CatalogWarehouse:
     malformed text gives NULL, which lies in no window. ISO text sorts like dates, so with a
     ``calendar`` the two years its reports can touch also become a range on the text itself,
     which reaches the scan.
+
+    Reports join their lines to ``UNIQUE`` masters; a repeated key there stops the query and is named.
     """
 
     def __init__(
@@ -100,6 +106,8 @@ class CatalogWarehouse:
                 end = dt.date(self._calendar.year + 1, 1, 1)
                 df = df.filter(f"date_id >= '{first}' AND date_id < '{end}'")
             df = df.withColumn("sale_date", F.expr("CAST(try_to_timestamp(date_id, 'yyyy-MM-dd') AS DATE)"))
+        if name in UNIQUE and UNIQUE[name] in columns:
+            df = with_unique(df, UNIQUE[name], name)
         return _typed(df.select(*columns), name)
 
 
@@ -116,16 +124,43 @@ def _typed(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def check_unique(df: DataFrame, keys: Sequence[str], show: int = 10) -> None:
-    """Raise if rows of ``df`` share a (known) key, naming the first such keys.
-
-    Reports leave out joins to the SKU and city masters of which they use no column; that is
-    right only while ``product.sku_id`` and ``city_type.city`` are unique.
-    """
+def check_unique(df: DataFrame, keys: Sequence[str], table: str = "", show: int = 10) -> None:
+    """Raise if rows of ``df`` share a (known) key, naming the first such keys."""
     known = " AND ".join(f"{k} IS NOT NULL" for k in keys)
     repeated = df.filter(known).groupBy(*keys).count().filter("count > 1").orderBy(*keys).limit(show).collect()
     if repeated:
-        raise ValueError(f"repeated keys {keys}: {[tuple(r)[: len(keys)] for r in repeated]}")
+        raise ValueError(f"repeated keys {keys} {table}: {[tuple(r)[: len(keys)] for r in repeated]}")
+
+
+def with_unique(df: DataFrame, key: str, table: str) -> DataFrame:
+    """``df``, whose plan stops with an error that names a (known) key if rows share one.
+
+    The repeated key is a scalar subquery over the keys alone: it is found once a query, before the rows
+    are read, and leaves the rows' own partitioning as it is.
+    """
+    repeated = df.filter(f"{key} IS NOT NULL").groupBy(key).count().filter("count > 1").agg(F.min(key)).scalar()
+    message = F.concat(F.lit(f"{table}: repeated {key} "), repeated.cast("string"))
+    return df.filter(F.when(repeated.isNull(), True).otherwise(F.raise_error(message).cast("boolean")))
+
+
+def source_quality(wh: Warehouse, cal: ReportCalendar) -> DataFrame:
+    """One row of counts over the source tables: rows a report cannot place, by reason."""
+    sales = wh.table("store_sales", ["parent_order_id", "sale_date"]).agg(
+        F.expr("count(*) AS sales_rows"),
+        F.expr("count_if(sale_date IS NULL) AS sales_without_date"),
+        F.expr("count_if(parent_order_id IS NULL) AS sales_without_order"),
+    )
+    lines = wh.table("order_lines", ["parent_order_id", "member_ref", "order_paid_date"]).agg(
+        F.expr("count(*) AS order_lines"),
+        F.expr("count_if(order_paid_date IS NULL) AS lines_without_date"),
+        F.expr("count_if(parent_order_id IS NULL) AS lines_without_order"),
+        F.expr("count_if(member_ref IS NULL) AS lines_without_member"),
+    )
+    number = "member_detail_id IS NOT NULL AND try_cast(member_detail_id AS BIGINT) IS NULL"
+    members = wh.table("member", ["member_detail_id"]).agg(
+        F.expr("count(*) AS members"), F.expr(f"count_if({number}) AS members_without_number")
+    )
+    return sales.join(lines, F.lit(True)).join(members, F.lit(True))
 
 
 def latest_snapshot(df: DataFrame, date_col: str, by: DataFrame | None = None) -> DataFrame:

@@ -50,11 +50,11 @@ def test_results_do_not_depend_on_join_sides(spark, request, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_member_block_expands_once_per_counted_column(spark):
-    run = ScorecardRun(FixtureWarehouse(spark, FOLDER), FIXTURE_CALENDAR, Conventions(), STORE_BY_PRICE)
-    plan = executed_plan(run.member_kpis())
-    projections = [line.split("]], [")[0].count("], [") + 1 for line in plan.split("\n") if "Expand [[" in line]
-    assert projections == [4]  # plain sums, members, orders, canonical members
+def test_scorecards_need_no_expand_and_no_sort_aggregate(spark):
+    """Distinct counts of several columns neither multiply rows nor sort them to aggregate."""
+    for name in ("store_by_price", "store_by_line_sku", "order_rank_counts", "multi_item_orders"):
+        plan = executed_plan(queries()[name](spark, FOLDER))
+        assert "Expand " not in plan and "SortAggregate" not in plan, name
 
 
 def test_no_python_in_any_plan(spark):
