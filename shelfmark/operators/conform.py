@@ -39,15 +39,21 @@ def valid_member_order_filter(lines: DataFrame) -> DataFrame:
     return lines.filter(VALID_MEMBER_ORDER)
 
 
-def attach_member_bridge(lines: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Left join on the member reference.
+def matching_key(column: str, spread: Sequence[str]) -> str:
+    """SQL for a join key in which rows without ``column`` match nothing and spread evenly.
 
-    The keys are bare columns, so nothing else has to be read and partitionings can be reused. Lines
-    without a reference may be a large share of the fact and, as NULL keys, meet in one partition, as
-    those of a heavy reference do; AQE splits such partitions on the side of the lines, by measured size.
+    As NULL keys they would all hash to one task of an outer join, which AQE cannot split beside an
+    aggregated side. They get a key no row has (a NUL byte and a hash of ``spread``, columns that the
+    report reads anyway, so that none is read for this alone).
     """
+    return f"coalesce(CAST({column} AS STRING), concat(chr(0), CAST(xxhash64({', '.join(spread)}) AS STRING)))"
+
+
+def attach_member_bridge(lines: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Left join on the member reference; lines without one are spread."""
     keyed = bridge.withColumn("bridge_member_id", F.expr("CAST(member_id AS STRING)")).drop("member_id")
-    return lines.join(keyed, F.expr("CAST(member_ref AS STRING) = bridge_member_id"), "left").drop("bridge_member_id")
+    own_key = matching_key("member_ref", ("parent_order_id", "type_value", "order_paid_date"))
+    return lines.join(keyed, F.expr(f"{own_key} = bridge_member_id"), "left").drop("bridge_member_id")
 
 
 def city_maturity(wh: Warehouse) -> DataFrame:

@@ -30,6 +30,7 @@ from shelfmark.operators.conform import (
     VALID_MEMBER_ORDER,
     attach_city_maturity,
     conform_order_lines,
+    matching_key,
 )
 from shelfmark.operators.lifetime import first_paid_time, order_rank_flags
 from shelfmark.sources.shared import relation, shares
@@ -253,14 +254,14 @@ class ScorecardRun:
         ranked = extra.order_flags
         if ranked is None:
             ranked = order_rank_flags(first_paid_time(valid_store_lines(self.wh, cal, self.conv)))
-        return lines.join(ranked, F.expr("parent_order_id = ranked_order_id"), "left")
+        own_key = matching_key("parent_order_id", ("sku_id", "order_paid_date", "member_id"))
+        return lines.join(ranked, F.expr(f"{own_key} = ranked_order_id"), "left")
 
     def member_kpis(self, fact: DataFrame | None = None) -> DataFrame:
         """Base counts and sales per key and in total, columns prefixed ``ty_`` and ``ly_``.
 
         1. Lines are reduced to one row per (period, value, order, member), with the sums and a bit for
-           each count whose condition they meet. After a shuffled join on the order this needs no
-           further shuffle.
+           each count whose condition they meet.
         2. A reduced row enters once for each thing that is counted (order, member, canonical member),
            under its value and in the total; equal things merge by or-ing their bits.
         3. What is left is one row per thing and value: bits are counted, sums added up.
