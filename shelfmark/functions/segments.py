@@ -140,8 +140,7 @@ def capped_count_label(count: str, cap: int) -> str:
 
 
 def line_split(line: str, sku_name: str, target: str, keyword: str) -> str:
-    """Divide one product line by a keyword in the SKU name."""
-    return (
-        f"IF({line} = '{target}', concat('{target}_WITH',"
-        f" CASE {sku_name} LIKE '%{keyword}%' WHEN true THEN '' WHEN false THEN 'OUT' END), {line})"
-    )
+    """Divide one product line by a keyword in the SKU name; without a name its SKUs have no line."""
+    inside = f"{sku_name} LIKE '%{keyword}%'"
+    divided = f"CASE WHEN {inside} THEN '{target}_WITH' WHEN NOT {inside} THEN '{target}_WITHOUT' END"
+    return f"IF({line} = '{target}', {divided}, {line})"
