@@ -53,6 +53,25 @@ def _delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Column that tells rows apart where they share a key.
+ROW_KEY = "__row_key"
+
+
+def row_keys(documents: DataFrame, key: str, text: str, staging: Staging) -> tuple[DataFrame, DataFrame | None]:
+    """``documents`` with a ``ROW_KEY`` for each distinct (key, text), and ``(ROW_KEY, key)`` of these.
+
+    Row keys ascend with the key and are NULL where it is. Where no two rows share a key, which is all that
+    is looked at first, they are the keys themselves, and there is no second table.
+    """
+    known = documents.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("k"), F.xxhash64(text).alias("t"))
+    if known.groupBy("k").count().where("count > 1").isEmpty():
+        return documents.withColumn(ROW_KEY, F.col(key).cast("long")), None
+    ordered = known.distinct().repartitionByRange("k", "t").sortWithinPartitions("k", "t")
+    names = staging.keep(ordered.withColumn(ROW_KEY, F.monotonically_increasing_id()), "row-keys")
+    same = (F.col(key).cast("long") == F.col("k")) & (F.xxhash64(text) == F.col("t"))
+    return documents.join(names, same, "left").drop("k", "t"), names.select(ROW_KEY, "k")
+
+
 def text_words(text: str) -> str:
     """SQL for the words of ``text`` as an array, empty for NULL or blank texts."""
     spaces = "concat(chr(9), chr(10), chr(11), chr(12), chr(13))"

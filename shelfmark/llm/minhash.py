@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Staging, bucket_components, connected_components
+from shelfmark.llm.common import ROW_KEY, Staging, bucket_components, connected_components, row_keys
 
 SHINGLE = 5
 #: Places of a signature; bands times rows. At a similarity of 0.75 a pair shares no band with probability 6e-6.
@@ -238,11 +238,24 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     smallest key reachable over links and ``kept`` marks that row.
 
     NULL, empty and blank texts have no shingles and link with nothing; texts of fewer than five
-    words are one shingle. Equal sets are linked without comparing them again. Rows that share a key
-    are one document; rows without a key take part in nothing: ``component_id`` NULL, ``kept`` true.
-    An empty table gives no rows. Other columns are not read.
+    words are one shingle. Equal sets are linked without comparing them again. Rows that share a key but
+    not the text are linked each by its own text. Rows without a key take part in nothing:
+    ``component_id`` NULL, ``kept`` true. An empty table gives no rows. Other columns are not read.
     """
     staging = Staging(documents.sparkSession)
+    rows, names = row_keys(documents.select(F.col(key).alias("id"), F.col(text).alias("text")), "id", "text", staging)
+    found = _row_duplicates(rows, staging)
+    if names is not None:
+        own = names.withColumnRenamed("k", "doc_id")
+        first = names.toDF("component_id", "first_id")
+        found = found.join(own, ROW_KEY, "left").join(first, "component_id", "left")
+        found = found.selectExpr("doc_id", "n_shingles", "first_id AS component_id", "coalesce(doc_id = first_id, true) AS kept")
+    return found.toDF(key, "n_shingles", "component_id", "kept")
+
+
+def _row_duplicates(documents: DataFrame, staging: Staging) -> DataFrame:
+    """``near_duplicates`` by ``ROW_KEY``, of which no two different texts share one."""
+    key, text = ROW_KEY, "text"
     texts = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = staging.keep(texts.mapInArrow(_sign, _SIGNED), "signed")
     full = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
@@ -287,7 +300,6 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
 
     components = bucket_components(firsts.selectExpr("id", "bands AS buckets"), accept, finish, staging, FIRST_BANDS)
     reached = classes.join(components, "id", "left").selectExpr("c0", "c1", "coalesce(component, id) AS component_id")
-    # A document's classes (more than one only where rows share a key) all lie in one component.
     out = signed.join(reached, ["c0", "c1"], "left").selectExpr(
         "doc_id", "n_shingles", "CASE WHEN doc_id IS NULL THEN NULL WHEN n_shingles = 0 THEN doc_id ELSE component_id END AS component_id"
     )
@@ -295,6 +307,13 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
 
 
 def keep_first(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``documents`` that are first of their group, columns unchanged."""
-    gone = near_duplicates(documents, key, text).where("NOT kept").select(F.col(key).alias("__gone")).distinct()
-    return documents.join(gone, F.col(key) == F.col("__gone"), "left_anti")
+    """The rows of ``documents`` that are first of their group, columns unchanged.
+
+    Rows without a key stay. Of rows that share a key each stays or goes by its own text; rows that are
+    equal in both are one document.
+    """
+    staging = Staging(documents.sparkSession)
+    rows, _ = row_keys(documents, key, text, staging)
+    found = _row_duplicates(rows.select(ROW_KEY, F.col(text).alias("text")), staging)
+    gone = found.where("NOT kept").select(F.col(ROW_KEY).alias("__gone")).distinct()
+    return rows.join(gone, F.col(ROW_KEY) == F.col("__gone"), "left_anti").drop(ROW_KEY)
