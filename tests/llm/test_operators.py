@@ -106,18 +106,21 @@ def edits(x, y):
     return row[-1]
 
 
+#: Of the four blocks of a SimHash.
+BLOCK_BITS = (0x0F0F0F0F, 0x0F0F0F0F << 32, 0xF0F0F0F0, 0xF0F0F0F0 << 32)
+
+
 def simhash(w):
-    """32 bits of the distinct words of each half of a line: those that more than half of them have; at exactly
-    half, the word with the largest hash (its bits of that half as a signed number) decides."""
+    """32 bits of the distinct words of each half of a line, from the lower four of each byte of their hashes: those that
+    more than half of the words have; at exactly half, the word with the largest (signed) hash decides."""
     out = 0
     middle = (len(w) + 1) // 2
-    for start, part in ((0, w[:middle]), (32, w[middle:])):
+    for shift, part in ((0, w[:middle]), (4, w[middle:])):
         hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in set(part)]
-        signed = lambda h: h - (1 << 64) if h >> 63 else h
-        top = max(hashes, key=(lambda h: signed(h >> 32 << 32)) if start else (lambda h: h & 0xFFFFFFFF))
-        for k in range(start, start + 32):
+        top = max(hashes, key=lambda h: h - (1 << 64) if h >> 63 else h)
+        for k in (k for k in range(64) if k % 8 < 4):
             ones = sum(h >> k & 1 for h in hashes)
-            out |= (1 if 2 * ones > len(hashes) else top >> k & 1 if 2 * ones == len(hashes) else 0) << k
+            out |= (1 if 2 * ones > len(hashes) else top >> k & 1 if 2 * ones == len(hashes) else 0) << k + shift
     return out
 
 
@@ -162,9 +165,10 @@ def test_line_dedup(docs, empty):
     fuzzy = 0
     for x, y in combinations(hashes, 2):
         apart = hashes[x] ^ hashes[y]
-        if apart.bit_count() <= line_dedup.BITS and sum(not apart >> 16 * i & 0xFFFF for i in range(4)) >= line_dedup.AGREE:
-            a, b = " ".join(x), " ".join(y)
-            if edits(a, b) <= 0.1 * max(len(a), len(b)):
+        if apart.bit_count() <= line_dedup.BITS and sum(not apart & block for block in BLOCK_BITS) >= line_dedup.AGREE:
+            by_word = [len(z) > line_dedup.LONG for z in (x, y)]
+            a, b = (x, y) if by_word[0] else (" ".join(x), " ".join(y))
+            if by_word[0] == by_word[1] and edits(a, b) <= 0.1 * max(len(a), len(b)):
                 groups.link(firsts[x], firsts[y])
                 fuzzy += 1
     assert fuzzy
