@@ -31,6 +31,9 @@ CACHED = 200_000
 # The letters and numbers of the first 256 code points, after lower-casing.
 _LATIN_CLASSES = {r"\p{L}": "a-zªµºß-öø-ÿ", r"\p{N}": "0-9²³¹¼-¾"}
 
+# Fixed value: white space of the first 256 code points; the module re would add U+001C to U+001F.
+_LATIN_SPACE = r"\x09-\x0d\x20\x85\xa0"
+
 
 def _is_latin(text: str) -> bool:
     if text.isascii():
@@ -64,7 +67,7 @@ class WordBpe:
         self._words = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}"))
         for name, members in _LATIN_CLASSES.items():
             pattern = pattern.replace(name, members)
-        self._latin = re.compile(pattern)
+        self._latin = re.compile(pattern.replace(r"[^\s", f"[^{_LATIN_SPACE}"))
         letters = byte_letters()
         self._inner = np.array([vocab[c] for c in letters], dtype=np.int32)
         self._last = np.array([vocab[c + end] for c in letters], dtype=np.int32)

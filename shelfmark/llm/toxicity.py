@@ -49,7 +49,8 @@ CUT = 0.7
 _SPECIAL = str.maketrans(LOOK_ALIKES | DIGITS)
 _BETWEEN = re.compile(r"(?<=[^\W\d_])[@$](?=[^\W\d_])")
 _OTHER = re.compile(r"[\W_]+")
-_MIXED = re.compile(r"[0-9]*[^\W\d_]\w*")
+# Starts at a whole run of digits and never gives one back, so that long runs are read once.
+_MIXED = re.compile(r"(?<![0-9])[0-9]*+[^\W\d_]\w*")
 
 
 def fold(text: str) -> str:

@@ -390,3 +390,18 @@ def test_queries_are_registered():
 
     assert {f"op{i}" for i in range(1, 14)} == {k.split("_")[0] for k in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
+
+
+def test_bpe_of_control_characters():
+    """U+001C to U+001F are signs, not white space, as in the library."""
+    path = public_tokenizers.path(queries.VOCABULARY)
+    library, rng = Tokenizer.from_file(path), random.Random(2)
+    texts = ["".join(rng.choice("ab1 .\x1c\x1d\x1e\x1f\x85\xa0é'll") for _ in range(rng.randint(0, 20))) for _ in range(5000)]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [list(ids) for ids in bpe.WordBpe(path).encode(texts)] == expected
+
+
+def test_folding_long_digit_runs():
+    """A million digits are read once; runs before a letter fold as before."""
+    assert toxicity.fold("1" * 1_000_000) == f" {'1' * 1_000_000} "
+    assert toxicity.fold("b4d 44 x4_4y") == toxicity.fold("bad 44 xa_ay")
