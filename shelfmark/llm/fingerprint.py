@@ -31,15 +31,28 @@ def packed_offer(place: int) -> str:
     """SQL that packs a word's offer for one place with its sample (``h``: the word's hash, ``lw``: ln of its weight).
 
     The upper half orders as ln c - r (step - b) - r does, the logarithm of the offer; the lower half
-    identifies word and step. The least packed number carries the sample.
+    identifies word and step. The least packed number carries the sample. One hash of word and place
+    gives all numbers drawn: ten bits for each factor of r, twelve for b, sixteen for each factor of c.
     """
-    u, v = f"xxhash64(h, {2 * place})", f"xxhash64(h, {2 * place + 1})"
-    r = f"(-ln({_uniform(u, 0, 32)} * {_uniform(f'shiftrightunsigned({u}, 32)', 0, 32)}))"
-    log_c = f"ln(-ln({_uniform(v, 0, 22)} * {_uniform(v, 22, 22)}))"
-    b = _uniform(v, 44, 19)
+    drawn = f"xxhash64(h, {place})"
+    r = f"(-ln({_uniform(drawn, 0, 10)} * {_uniform(drawn, 10, 10)}))"
+    b = _uniform(drawn, 20, 12)
+    log_c = f"ln(-ln({_uniform(drawn, 32, 16)} * {_uniform(drawn, 48, 16)}))"
     step = f"floor(lw / {r} + {b})"
     offer = f"CAST(({log_c} - {r} * ({step} - {b} + 1D) + 1000D) * 1048576D AS BIGINT)"
-    return f"(({offer} << 32) | (xxhash64(h, {step}, {place}) & 2147483647L))"
+    return f"(({offer} << 32) | (({drawn} ^ ({step} * 2654435761L)) & 2147483647L))"
+
+
+def least_offers(weighted: DataFrame, by: list[str]) -> DataFrame:
+    """``(*by, offers)``: the least packed offer for each place among rows ``(*by, h, w)``, words with their weights."""
+    rows = weighted.selectExpr(*by, "h", "ln(CAST(w AS DOUBLE)) AS lw")
+    least = rows.groupBy(*by).agg(*[F.expr(f"min({packed_offer(i)})").alias(f"m{i}") for i in range(PLACES)])
+    return least.select(*by, F.array(*[f"m{i}" for i in range(PLACES)]).alias("offers"))
+
+
+def _samples(offers: str) -> str:
+    """SQL for the samples that packed offers carry."""
+    return f"transform({offers}, m -> CAST(m & 2147483647L AS INT))"
 
 
 def fingerprints(rows: DataFrame, by: list[str], text: str) -> DataFrame:
@@ -48,9 +61,41 @@ def fingerprints(rows: DataFrame, by: list[str], text: str) -> DataFrame:
     If ``rows`` is already partitioned by (some of) ``by``, nothing is shuffled.
     """
     words = rows.select(*by, F.explode(F.expr(text_words(text))).alias("word")).select(*by, F.expr("xxhash64(word)").alias("h"))
-    weighted = words.groupBy(*by, "h").agg(F.count(F.lit(1)).alias("w")).selectExpr(*by, "h", "ln(CAST(w AS DOUBLE)) AS lw")
-    least = weighted.groupBy(*by).agg(*[F.expr(f"min({packed_offer(i)})").alias(f"m{i}") for i in range(PLACES)])
-    return least.select(*by, F.array(*[F.expr(f"CAST(m{i} & 2147483647L AS INT)") for i in range(PLACES)]).alias("samples"))
+    weighted = words.groupBy(*by, "h").agg(F.count(F.lit(1)).alias("w"))
+    return least_offers(weighted, by).select(*by, F.expr(_samples("offers")).alias("samples"))
+
+
+#: Versions of a text that has been edited, and what both have in common.
+OWN, EDITED, SHARED = 0, 1, 2
+
+
+def edit_fingerprints(pairs: DataFrame, by: list[str], own: str, edited: str, same: str) -> DataFrame:
+    """``(*by, own, edited)``: samples of two versions of a text whose first ``same`` characters are equal.
+
+    Only words whose weight differs are drawn for each version; the others are drawn once and count for
+    both. A version without words has no samples (NULL); without any word in both there is no row.
+    If ``pairs`` is already partitioned by (some of) ``by``, nothing is shuffled.
+    """
+    spaces = "concat(chr(9), chr(10), chr(11), chr(12), chr(13))"
+    last = f"instr(reverse(translate(left({own}, {same}), {spaces}, '     ')), ' ')"
+    cut = pairs.select(*by, F.expr(own).alias("own"), F.expr(edited).alias("edited"), F.expr(f"IF({last} = 0, 0, {same} - {last} + 1)").alias("cut"))
+    parts = f"map({OWN}, substring(own, cut + 1), {EDITED}, substring(edited, cut + 1), {SHARED}, left(own, cut))"
+    words = cut.select(*by, F.explode(F.expr(parts)).alias("version", "part"))
+    words = words.select(*by, "version", F.explode(F.expr(text_words("part"))).alias("word")).selectExpr(*by, "version", "xxhash64(word) AS h")
+    counted = words.groupBy(*by, "h").agg(F.expr(f"count_if(version != {EDITED})").alias("w0"), F.expr(f"count_if(version != {OWN})").alias("w1"))
+    each = [f"named_struct('version', {v}, 'w', {w})" for v, w in ((OWN, "w0"), (EDITED, "w1"), (SHARED, "w0"))]
+    drawn = (
+        f"CASE WHEN w0 = w1 THEN array({each[SHARED]}) WHEN w0 = 0 THEN array({each[EDITED]}) "
+        f"WHEN w1 = 0 THEN array({each[OWN]}) ELSE array({each[OWN]}, {each[EDITED]}) END"
+    )
+    weighted = counted.select(*by, "h", F.explode(F.expr(drawn)).alias("d")).select(*by, "h", "d.version", "d.w")
+    least = least_offers(weighted, [*by, "version"]).groupBy(*by).agg(F.expr("collect_list(struct(version, offers))").alias("found"))
+
+    def merged(other: int) -> str:
+        fewer = "IF(s IS NULL, x.offers, zip_with(s, x.offers, (a, b) -> least(a, b)))"
+        return _samples(f"aggregate(filter(found, x -> x.version != {other}), CAST(NULL AS ARRAY<BIGINT>), (s, x) -> {fewer})")
+
+    return least.selectExpr(*by, f"{merged(EDITED)} AS own", f"{merged(OWN)} AS edited")
 
 
 def likeness(a: str, b: str) -> Column:
@@ -103,20 +148,22 @@ def compare_edits(documents: DataFrame, key: str = "doc_id", text: str = "text")
     )
     listed = staging.keep(rows.selectExpr("k", "o", "t", "CAST(length(body) AS BIGINT) AS n"), "listed")
     follow = staging.keep(successors(listed.select("o", "t").distinct(), staging), "follow")
+    staging.drop("ranged")
     bodies = rows.select("o", "t", "body").dropDuplicates(["o", "t"])
     asked = follow.join(listed.select("o", "t", "n").distinct(), ["o", "t"]).selectExpr("no", "nt", "o AS fo", "t AS ft", "CAST(floor(n / 3) AS INT) AS third")
     starts = bodies.join(asked, (bodies["o"] == asked["no"]) & (bodies["t"] == asked["nt"])).selectExpr(
-        "fo AS o", "ft AS t", "third", "substring(body, 1, third) AS start"
+        "fo AS o", "ft AS t", "third", "no", "nt", "substring(body, 1, third) AS start"
     )
-    both = bodies.join(starts, ["o", "t"]).selectExpr("o", "t", "body", "concat(left(body, length(body) - third), start) AS edited")
-    digests = both.selectExpr("o", "t", "sha2(CAST(edited AS BINARY), 256) AS edited_sha256")
-    versions = both.select("o", "t", F.explode(F.expr("map(0, body, 1, edited)")).alias("version", "words"))
-    stored = staging.keep(fingerprints(versions, ["o", "t", "version"], "words"), "samples")
-    own = stored.where("version = 0").selectExpr("o", "t", "samples AS own")
-    edited = stored.where("version = 1").selectExpr("o", "t", "samples AS edited")
-    after = stored.where("version = 0").selectExpr("o AS no", "t AS nt", "samples AS after")
-    out = listed.join(follow, ["o", "t"]).join(digests, ["o", "t"])
-    out = out.join(own, ["o", "t"], "left").join(edited, ["o", "t"], "left").join(after, ["no", "nt"], "left")
+    both = bodies.join(starts, ["o", "t"]).selectExpr("o", "t", "no", "nt", "body", "length(body) - third AS same", "concat(left(body, length(body) - third), start) AS edited")
+    digests = both.selectExpr("o", "t", "no", "nt", "sha2(CAST(edited AS BINARY), 256) AS edited_sha256")
+    prints = edit_fingerprints(both, ["o", "t"], "body", "edited", "same")
+    # Of the edited text's samples only those that are not its own are stored.
+    changed = "zip_with(edited, coalesce(own, array()), (e, w) -> IF(e = w, NULL, e)) AS changed"
+    stored = staging.keep(digests.join(prints, ["o", "t"], "left").selectExpr("o", "t", "no", "nt", "edited_sha256", "own", changed), "prints")
+    after = stored.selectExpr("o AS no", "t AS nt", "own AS after")
+    next_ones = stored.select("o", "t", "no", "nt", "own").join(after, ["no", "nt"]).select("o", "t", likeness("own", "after").alias("near_next"))
+    out = listed.join(stored.select("o", "t", "edited_sha256", "own", "changed"), ["o", "t"]).join(next_ones, ["o", "t"])
+    out = out.withColumn("edited", F.expr("zip_with(changed, coalesce(own, array()), (c, w) -> coalesce(c, w))"))
     return out.select(
         F.col("k").alias(key),
         F.col("n").alias("n_chars"),
@@ -124,5 +171,5 @@ def compare_edits(documents: DataFrame, key: str = "doc_id", text: str = "text")
         as_text("own").alias("fingerprint"),
         as_text("edited").alias("edited_fingerprint"),
         likeness("own", "edited").alias("near_edited"),
-        likeness("own", "after").alias("near_next"),
+        "near_next",
     )

@@ -197,11 +197,58 @@ def test_fingerprint(docs, empty):
             assert 0 <= likeness <= 1
             if len(x) > 20 and len(other) > 20:
                 exact = sum((x & other).values()) / sum((x | other).values())
-                assert abs(likeness - exact) < 0.35
+                assert abs(likeness - exact) < 0.28
         assert prints.setdefault(own, got[i].fingerprint) == got[i].fingerprint
     assert fingerprint.compare_edits(empty).collect() == []
 
 
+def test_edit_fingerprints_are_those_of_both_texts(spark):
+    """Words drawn once for both versions give what each version gives by itself, wherever the cut falls."""
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(60)]
+    rows = [(0, "", ""), (1, "", "a b"), (2, "a b", ""), (3, "ab", "ac"), (4, "a b", "a c"), (5, " \n ", " \nx"), (6, "é" * 9000 + " z", "é" * 8999 + "y z")]
+    for i in range(7, 60):
+        own = " ".join(rng.choices(vocabulary, k=rng.randint(1, 80))) + rng.choice(["", " ", "\n"])
+        cut = rng.randint(0, len(own))
+        rows.append((i, own, own[:cut] + " ".join(rng.choices(vocabulary, k=rng.randint(0, 30)))))
+    same = [next((n for n, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b))) for _, a, b in rows]
+    pairs = spark.createDataFrame([(*r, n) for r, n in zip(rows, same, strict=True)], "i int, a string, b string, n int")
+    got = {r.i: r for r in fingerprint.edit_fingerprints(pairs, ["i"], "a", "b", "n").collect()}
+    for name, column in (("a", "own"), ("b", "edited")):
+        plain = {r.i: r.samples for r in fingerprint.fingerprints(pairs, ["i"], name).collect()}
+        assert {i: r[column] for i, r in got.items() if r[column] is not None} == plain
+
+
+def test_likeness_is_generalised_jaccard(spark):
+    """Over many pairs the mean error is small and errors spread as the number of places says."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(300):
+        vocabulary = [f"v{i}-{n}" for n in range(120)]  # its own words, so that errors are independent
+        own = rng.choices(vocabulary, weights=[1 / (n + 1) for n in range(120)], k=100)
+        kept = rng.randint(0, 100)
+        rows.append((i, " ".join(own), " ".join(own[:kept] + rng.choices(vocabulary, k=100 - kept))))
+    pairs = spark.createDataFrame([(*r, 0) for r in rows], "i int, a string, b string, n int")
+    got = fingerprint.edit_fingerprints(pairs, ["i"], "a", "b", "n")
+    got = {r.i: r.near for r in got.select("i", fingerprint.likeness("own", "edited").alias("near")).collect()}
+    errors = []
+    for i, a, b in rows:
+        x, y = Counter(words(a)), Counter(words(b))
+        errors.append(got[i] - sum((x & y).values()) / sum((x | y).values()))
+    assert abs(sum(errors)) / 300 < 0.012 and sum(e * e for e in errors) / 300 < 0.0625**2 * 1.2
+
+
+def test_fingerprint_edge_cases(spark):
+    """Rows without key come last, rows sharing one follow each other, equal rows are reported as often as they occur."""
+    rows = [(None, "last one"), (5, "x y z"), (5, "x y z"), (5, "other words here"), (9, None), (9, ""), (2, "a" * 3000)]
+    table = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, source string, third int")
+    got = fingerprint.compare_edits(table).collect()
+    assert sorted((r.doc_id or -1, r.n_chars) for r in got) == sorted((i or -1, len(t or "")) for i, t in rows)
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+    last = next(r for r in got if r.doc_id is None)  # followed by the first in order, the empty text of 9
+    assert last.edited_sha256 == hashlib.sha256(b"last o").hexdigest()
+
+
 def test_sharding(docs, empty):
     limit = 2_000
     rows = sharding.extendible_shards(docs, limit).collect()
