@@ -10,7 +10,7 @@ where d are Good-Turing discounts for counts up to K (1 above) and alpha(v) make
 one exactly. The added 1 leaves every context some mass even if none of its counts is discounted.
 
 Texts are coded once as numbers of the words of their chunk. A chunk asks for the counts of its
-distinct words, so that a frequent word is one row a chunk; then distinct pairs of each document are
+distinct words, so that a frequent word is one row a chunk; then its distinct pairs, with their documents, are
 sent to the partition of their context, where counts, seen pairs and backoff weights are at hand
 and only sums for each document leave. Nothing of the corpus passes through the driver but the
 numbers of words and pairs that occur once, twice, ... .
@@ -147,13 +147,13 @@ def _coder(parts: int):
 
 
 def _count_words(group: pd.DataFrame) -> pd.DataFrame:
-    """Global counts for all chunks' words of one partition, in each chunk's order."""
+    """Global counts for all chunks' words of one partition, in each chunk's order; the chunk has the words."""
     asked = [unpack(p) for p in group["payload"]]
     words, where = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
     total = np.bincount(where, weights=np.concatenate([a[1] for a in asked]), minlength=len(words)).astype(np.int64)
     ends = np.cumsum([len(a[0]) for a in asked])
     rows = [
-        (c, p, pack(a[0], total[where[e - len(a[0]) : e]]), None)
+        (c, p, pack(_fitting(total[where[e - len(a[0]) : e]])), None)
         for c, p, a, e in zip(group["chunk"], group["part"], asked, ends, strict=True)
     ]
     seen = total[total > 0]
@@ -167,9 +167,10 @@ def _pair_rows(parts: int, distinct: int, tokens: int, documents: int):
 
     def run(key: tuple, coded: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         chunk = key[0]
+        coded = coded.sort_values("part")  # the texts, then the words of each partition
         text, lengths, held = unpack(coded["payload"].iloc[0])
-        found = [unpack(p) for p in answers.sort_values("part")["payload"]]
-        words, counts = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+        words = np.concatenate([unpack(p)[0] for p in coded["payload"].iloc[1:]])
+        counts = np.concatenate([unpack(p)[0] for p in answers.sort_values("part")["payload"]]).astype(np.int64)
         starts = np.cumsum(lengths) - lengths
         c = counts[text]
         base = np.add.reduceat(np.log10((c + 0.1) / (tokens + 0.1 * (distinct + 1))), starts)
@@ -186,17 +187,19 @@ def _pair_rows(parts: int, distinct: int, tokens: int, documents: int):
         tag = mix(words[before] * _FACTOR + words[after]) >> np.uint64(24)
         slices = (counts[before] // HOT + 1).astype(np.uint64)
         part = (mix(words[before] + _FACTOR * (tag % slices)) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((before, part))
+        order = np.lexsort((doc, tag, before, part))
         doc, before, after, tag, times, part = (x[order] for x in (doc, before, after, tag, times, part))
         bounds = [*np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist(), len(part)]
-        small = np.uint16 if len(lengths) <= 65_536 else np.uint32
         for a, b in zip(bounds, bounds[1:], strict=False):
-            at = np.flatnonzero(np.concatenate([[True], before[a + 1 : b] != before[a : b - 1]]))
-            runs = np.diff(np.append(at, b - a))
-            context = before[a:b][at]
+            # A distinct pair is told once a chunk, with the documents that have it; likewise its context.
+            new_context = np.concatenate([[True], before[a + 1 : b] != before[a : b - 1]])
+            new_pair = new_context | np.concatenate([[True], tag[a + 1 : b] != tag[a : b - 1]])
+            at = np.flatnonzero(new_pair)
+            contexts = np.flatnonzero(new_context[at])
+            context = before[a:b][at][contexts]
             payload = pack(
-                words[context], counts[context], runs.astype(np.uint32), _narrow(tag[a:b]),
-                doc[a:b].astype(small), counts[after[a:b]].astype(np.uint32), times[a:b].astype(np.uint32), held,
+                words[context], _fitting(counts[context]), _fitting(np.diff(np.append(contexts, len(at)))), _narrow(tag[a:b][at]),
+                _fitting(doc[a:b]), _fitting(counts[after[a:b][at]]), _fitting(times[a:b]), held, _fitting(np.diff(np.append(at, b - a))),
             )
             rows.append(("pairs", chunk, int(part[a]), payload, None))
         return pd.DataFrame(rows, columns=["kind", "chunk", "part", "payload", "ids"])
@@ -204,6 +207,11 @@ def _pair_rows(parts: int, distinct: int, tokens: int, documents: int):
     return run
 
 
+def _fitting(numbers: np.ndarray) -> np.ndarray:
+    """Numbers from 0 in the narrowest type that holds the largest."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max(initial=0))))
+
+
 def _narrow(tags: np.ndarray) -> np.ndarray:
     """40-bit numbers as bytes, plane after plane."""
     return np.ascontiguousarray(tags).view(np.uint8).reshape(-1, 8)[:, :5].T.reshape(-1)
@@ -233,8 +241,10 @@ def _score_pairs(tokens: int, occurring: list[int]):
             contexts, which = np.unique(np.concatenate([b[0] for b in blobs]), return_inverse=True)
             occurs = np.zeros(len(contexts), dtype=np.float64)
             occurs[which] = np.concatenate([b[1] for b in blobs])
+            repeats = np.concatenate([b[8] for b in blobs]).astype(np.int64)  # documents of each chunk's distinct pairs
             ctx = np.repeat(which, np.concatenate([b[2] for b in blobs])).astype(np.uint64)
-            key = (ctx << np.uint64(40)) | np.concatenate([_wide(b[3]) for b in blobs])
+            key = np.repeat((ctx << np.uint64(40)) | np.concatenate([_wide(b[3]) for b in blobs]), repeats)
+            ctx = np.repeat(ctx, repeats)
             sizes = [len(b[4]) for b in blobs]
             times = np.concatenate([b[6] for b in blobs]).astype(np.int64)
             training = np.concatenate([~b[7].astype(bool)[b[4]] for b in blobs])
@@ -243,7 +253,7 @@ def _score_pairs(tokens: int, occurring: list[int]):
             r = np.add.reduceat(np.where(training, times, 0)[order], first)
             of = np.empty(len(key), dtype=np.int64)
             of[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
-            next_count = np.concatenate([b[5] for b in blobs]).astype(np.int64)
+            next_count = np.repeat(np.concatenate([b[5] for b in blobs]).astype(np.int64), repeats)
             p1 = unigram(next_count, tokens, occurring)
             type_ctx, type_p1, seen = ctx[order][first].astype(np.int64), p1[order][first], r > 0
             rows.append({"kind": "stats", "stats": [int((r == i).sum()) for i in range(1, K + 2)]})
@@ -330,7 +340,7 @@ def score_texts(documents: DataFrame, held_out: str, key: str = "doc_id", text:
     training = coded.where("part = -1").selectExpr("payload", "size(ids) AS n")
     training = training.select(_training("payload").alias("n")).selectExpr("coalesce(sum(n), 0)").first()[0]
     answers = counted.where("chunk >= 0").select("chunk", "part", "payload")
-    pairs = coded.where("part = -1").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    pairs = coded.groupBy("chunk").cogroup(answers.groupBy("chunk"))
     pairs = pairs.applyInPandas(
         _pair_rows(pair_parts, distinct, tokens, training), "kind string, chunk long, part int, payload binary, ids array<long>"
     )
