@@ -1,20 +1,24 @@
 """Passages that repeat, exactly or with small edits, across documents: collinear chaining of seeds.
 
 Seeds are k-word runs, thinned to window minimisers (the least hash of each window), so that equal
-passages keep the same seeds. Each seed links its first document with all others that hold it: a
-popular passage costs one link a document, never all pairs. The matches of a pair of documents are
-chained in order, with gap costs, by prefix maxima in a Fenwick tree; chains are then aligned word by
-word, between the seeds and outwards, and kept if long and similar enough.
+passages keep the same seeds. Each seed links its first document with all others that hold it, and so
+does each run of two or four shared seeds at equal distances: where common phrases scatter the seeds of a
+passage over many first documents, its longer runs still lead to one that holds more of it. A popular
+passage costs a few links a document, never all pairs. The matches of a pair of documents are chained in
+order, with gap costs, by range maxima in a Fenwick tree; chains are then aligned word by word, between
+the seeds and outwards, cut at their worst gaps until the pieces are similar enough, and kept if long.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import Staging
@@ -24,6 +28,8 @@ from shelfmark.llm.minhash import mix, word_hashes
 #: 2 * WINDOW + SEED - 1 = 37 words share at least two seeds of it.
 SEED = 6
 WINDOW = 16
+#: Shared seeds of the runs that link documents besides single seeds.
+RUNS = (2, 4)
 #: A passage has at least MIN_WORDS words in both documents and this share of aligned words.
 MIN_WORDS = 50
 SIMILARITY = 0.75
@@ -83,53 +89,72 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Fenwick:
-    """Prefix maxima of (score, index) over places 0 .. n - 1."""
+    """Maxima of values over ranges of places, among those put at a time that has not expired.
+
+    Times of ``put`` and ``best`` never fall. A node keeps a queue of the values that can still become its
+    maximum: later ones push out smaller ones before them.
+    """
 
     def __init__(self, n: int):
-        self.best: list[tuple[float, int]] = [(-1e18, -1)] * (n + 1)
+        self.nodes: list[deque] = [deque() for _ in range(n + 1)]
+        self.places: list[deque] = [deque() for _ in range(n)]
 
-    def put(self, place: int, value: tuple[float, int]) -> None:
+    def put(self, place: int, time: int, value: tuple[float, int]) -> None:
+        self._push(self.places[place], time, value)
         place += 1
-        while place < len(self.best):
-            if value > self.best[place]:
-                self.best[place] = value
+        while place < len(self.nodes):
+            self._push(self.nodes[place], time, value)
             place += place & -place
 
-    def upto(self, place: int) -> tuple[float, int]:
-        """The maximum over places below ``place``."""
+    def best(self, low: int, high: int, since: int) -> tuple[float, int]:
+        """The maximum over places ``low`` to ``high - 1``, put at ``since`` or later."""
         out = (-1e18, -1)
-        while place > 0:
-            out = max(out, self.best[place])
-            place -= place & -place
+        while high > low:
+            whole = high - (high & -high) >= low
+            queue = self.nodes[high] if whole else self.places[high - 1]
+            while queue and queue[0][0] < since:
+                queue.popleft()
+            if queue:
+                out = max(out, queue[0][1])
+            high -= high & -high if whole else 1
         return out
 
+    @staticmethod
+    def _push(queue: deque, time: int, value: tuple[float, int]) -> None:
+        while queue and queue[-1][1] <= value:
+            queue.pop()
+        queue.append((time, value))
+
 
 def chains(left: list[int], right: list[int]) -> list[list[int]]:
     """Chains of matches (indices), best first; ``left`` and ``right`` are places in the two texts.
 
-    A chain ascends in both texts. Its score is the words it covers less the gap costs; since the cost
-    of a step is a difference of terms of its two ends, the best predecessor is a prefix maximum.
+    A chain ascends in both texts, by ``MAX_GAP`` words beyond a seed at most. Its score is the words it
+    covers less the gap costs; since the cost of a step is a difference of terms of its two ends, the best
+    predecessor is the maximum over the matches within that distance.
     """
     order = sorted(range(len(left)), key=lambda i: (right[i], -left[i]))
-    ranks = {a: r for r, a in enumerate(sorted(set(left)))}
-    tree = Fenwick(len(ranks))
+    places = sorted(set(left))
+    ranks = {a: r for r, a in enumerate(places)}
+    tree = Fenwick(len(places))
     score, parent = [0.0] * len(left), [-1] * len(left)
     waiting: list[int] = []  # matches at the current place on the right: no chain has two of them
 
     def flush() -> None:
         for i in waiting:
-            tree.put(ranks[left[i]], (score[i] + GAP_COST * (left[i] + right[i]), i))
+            tree.put(ranks[left[i]], right[i], (score[i] + GAP_COST * (left[i] + right[i]), i))
         waiting.clear()
 
+    reach = MAX_GAP + SEED
     for n, i in enumerate(order):
         if n and right[order[n - 1]] != right[i]:
             flush()
-        value, j = tree.upto(ranks[left[i]])
+        value, j = tree.best(bisect_left(places, left[i] - reach), ranks[left[i]], right[i] - reach)
         score[i] = float(SEED)
         if j >= 0:
             step = min(left[i] - left[j], right[i] - right[j])
             gained = value - GAP_COST * (left[i] + right[i]) + min(SEED, step)
-            if gained > score[i] and max(left[i] - left[j], right[i] - right[j]) <= MAX_GAP + SEED:
+            if gained > score[i]:
                 score[i], parent[i] = gained, j
         waiting.append(i)
     used, out = [False] * len(left), []
@@ -148,7 +173,7 @@ def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for a, b, matches in zip(batch["a"], batch["b"], batch["matches"], strict=True):
-            right, left = [m["at"] for m in matches], [m["first_at"] for m in matches]
+            right, left = zip(*sorted({(m["at"], m["first_at"]) for m in matches}), strict=True)
             for chain in chains(left, right):
                 if len(chain) > 1:
                     x, y = [left[i] for i in chain], [right[i] for i in chain]
@@ -202,32 +227,76 @@ def grow(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int]:
     return i, j, same
 
 
+def similar_parts(x: np.ndarray, y: np.ndarray, left: list[int], right: list[int]) -> list[tuple[int, int, int, int, float]]:
+    """``(start, words, start, words, similarity)`` in both runs for the similar, long parts of a chain.
+
+    A chain that is not similar enough as a whole is cut where most words between two seeds differ, and
+    so are its parts.
+    """
+    same = np.array([aligned(x[p:q], y[r:s]) for p, q, r, s in zip(left, left[1:], right, right[1:], strict=False)], dtype=np.int64)
+    left_at, right_at = np.array(left), np.array(right)
+    lost = np.maximum(np.diff(left_at), np.diff(right_at)) - same
+    out, parts, low_x, low_y = [], [(0, len(left) - 1)], 0, 0
+    while parts:
+        i, j = parts.pop()
+        # Parts come in order, and none reaches back into one that was kept before it.
+        if left[i] < low_x or right[i] < low_y:
+            continue
+        end_x, end_y = (left[j + 1], right[j + 1]) if j + 1 < len(left) else (len(x), len(y))
+        back = grow(x[low_x : left[i]][::-1], y[low_y : right[i]][::-1])
+        on = grow(x[left[j] : end_x], y[right[j] : end_y])
+        a, b = left[i] - back[0], right[i] - back[1]
+        n, m = left[j] + on[0] - a, right[j] + on[1] - b
+        equal = back[2] + on[2] + int(same[i:j].sum())
+        if equal >= SIMILARITY * max(n, m):
+            if min(n, m) >= MIN_WORDS:
+                out.append((a, n, b, m, equal / max(n, m)))
+                low_x, low_y = a + n, b + m
+        elif i < j:
+            cut = i + int(lost[i:j].argmax())
+            parts += [(cut + 1, j), (i, cut)]
+    return out
+
+
 def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for c in batch.itertuples(index=False):
             x, y = np.frombuffer(c.x, dtype="<u4"), np.frombuffer(c.y, dtype="<u4")
             left, right = [p - c.a0 for p in c.left], [p - c.b0 for p in c.right]
-            back = grow(x[: left[0]][::-1], y[: right[0]][::-1])
-            on = grow(x[left[-1] :], y[right[-1] :])
-            same = back[2] + on[2]
-            for p, q, r, s in zip(left, left[1:], right, right[1:], strict=False):
-                same += aligned(x[p:q], y[r:s])
-            a, b = left[0] - back[0], right[0] - back[1]
-            n, m = left[-1] + on[0] - a, right[-1] + on[1] - b
-            if min(n, m) >= MIN_WORDS and same >= SIMILARITY * max(n, m):
-                rows.append((c.b, c.b0 + b, m, c.a, c.a0 + a, n, same / max(n, m)))
+            for a, n, b, m, similarity in similar_parts(x, y, left, right):
+                rows.append((c.b, c.b0 + b, m, c.a, c.a0 + a, n, similarity))
         yield pd.DataFrame(rows, columns=["doc", "start", "n", "first", "first_start", "first_n", "similarity"])
 
 
 _FOUND = "doc long, start int, n int, first long, first_start int, first_n int, similarity double"
 
 
+def _firsts(held: DataFrame, key: str) -> DataFrame:
+    """``(key, a, first_at)``: the first place of each key that several documents hold."""
+    place = f"CAST(doc AS DECIMAL(20, 0)) * {_LINES} + at"
+    firsts = held.groupBy(key).agg(F.expr(f"min({place})").alias("first"), F.min("doc").alias("low"), F.max("doc").alias("high"))
+    return firsts.where("low < high").selectExpr(key, "low AS a", f"CAST(pmod(first, {_LINES}) AS INT) AS first_at")
+
+
+def _runs(shared: DataFrame) -> DataFrame:
+    """``(run, span, doc, at)``: hashes of neighbouring shared seeds and their distances, each no wider than a gap."""
+    after = Window.partitionBy("doc").orderBy("at")
+    for i in range(1, max(RUNS)):
+        shared = shared.withColumn(f"s{i}", F.lead("seed", i).over(after)).withColumn(f"d{i}", F.lead("at", i).over(after) - F.col("at"))
+    one = lambda n: (
+        f"IF(d{n - 1} <= {(n - 1) * MAX_GAP}, struct(xxhash64({n}, seed, {', '.join(f's{i}, d{i}' for i in range(1, n))}) AS run, d{n - 1} AS span), NULL)"
+    )
+    listed = shared.selectExpr("doc", "at", f"explode(array({', '.join(one(n) for n in RUNS)})) AS r").where("r IS NOT NULL")
+    return listed.selectExpr("r.run", "r.span", "doc", "at")
+
+
 def repeated_passages(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, start_word, n_words, first_key, first_start_word, first_n_words, similarity)`` for each repeated passage.
 
     A row says that the words from ``start_word`` (counted from 0, A-Z lower-cased) of a document
-    repeat those of an earlier one, the document with the smallest key that holds a seed of them;
+    repeat those of an earlier one, the document with the smallest key that holds a seed, or a run of
+    seeds, of them;
     ``similarity`` is the share of aligned words. Passages have ``MIN_WORDS`` words at least in both.
     A document may have several rows, also for overlapping passages of different earlier documents.
 
@@ -238,11 +307,13 @@ def repeated_passages(documents: DataFrame, key: str = "doc_id", text: str = "te
     staging = Staging(documents.sparkSession)
     rows = documents.where(f"{key} IS NOT NULL AND length({text}) > 0").select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     seeds = staging.keep(rows.mapInArrow(_seeds, "seed long, doc long, at int"), "seeds")
-    place = f"CAST(doc AS DECIMAL(20, 0)) * {_LINES} + at"
-    firsts = seeds.groupBy("seed").agg(F.expr(f"min({place})").alias("first"), F.min("doc").alias("low"), F.max("doc").alias("high"))
-    firsts = firsts.where("low < high").selectExpr("seed", "low AS a", f"CAST(pmod(first, {_LINES}) AS INT) AS first_at")
-    matches = seeds.join(staging.keep(firsts, "firsts"), "seed").where("doc != a")
-    pairs = matches.groupBy("a", F.col("doc").alias("b")).agg(F.collect_list(F.struct("at", "first_at")).alias("matches"))
+    firsts = staging.keep(_firsts(seeds, "seed"), "firsts")
+    shared = staging.keep(seeds.join(firsts, "seed"), "shared")
+    runs = staging.keep(_runs(shared.select("seed", "doc", "at")), "runs")
+    ends = runs.join(staging.keep(_firsts(runs, "run"), "first-runs"), "run")
+    ends = ends.selectExpr("doc", "a", "explode(array(0, span)) AS on", "at", "first_at").selectExpr("doc", "a", "at + on AS at", "first_at + on AS first_at")
+    matches = shared.select("doc", "a", "at", "first_at").union(ends).where("doc != a")
+    pairs = matches.groupBy("a", F.col("doc").alias("b")).agg(F.collect_set(F.struct("at", "first_at")).alias("matches"))
     chained = staging.keep(pairs.where("size(matches) > 1").mapInPandas(_chain, _CHAINS), "chains")
     needed = chained.selectExpr("explode(array(a, b)) AS doc").distinct()
     words = staging.keep(rows.join(needed, "doc", "left_semi").mapInArrow(_coded, "doc long, words binary"), "words")

@@ -390,6 +390,55 @@ def test_substring(docs, empty):
     assert substring.repeated_passages(empty).collect() == []
 
 
+def test_substring_against_all_pairs(spark):
+    """Runs of 50 equal words and more of any two documents, found by brute force, are covered by rows."""
+    rng = random.Random(17)
+    fresh = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    phrases = [fresh(9) for _ in range(60)]  # common phrases: long passages are made of them
+    common = lambda n: [w for _ in range(n) for w in rng.choice(phrases)]
+    passages = [fresh(rng.randint(50, 140)) for _ in range(5)] + [common(rng.randint(7, 14)) for _ in range(5)]
+    texts = [fresh(20) + common(rng.randint(1, 3)) + fresh(20) for _ in range(150)]
+    for _ in range(40):
+        texts.append([w for p in rng.sample(passages, 3) for w in p + fresh(rng.choice([0, 30, 90, 130, 400]))])
+    rng.shuffle(texts)
+    documents = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    covered = {}
+    for r in substring.repeated_passages(documents).collect():
+        covered.setdefault(r.doc_id, set()).update(range(r.start_word, r.start_word + r.n_words))
+    wanted = hit = runs = 0
+    for j, y in enumerate(texts):
+        places = {}
+        for at, w in enumerate(y):
+            places.setdefault(w, []).append(at)
+        for x in texts[:j]:
+            length = {}
+            for w in x:  # lengths of the equal runs that end at each place of y
+                now = {at: length.get(at - 1, 0) + 1 for at in places.get(w, [])}
+                for at, n in length.items():
+                    if n >= 50 and at + 1 not in now:
+                        runs, wanted = runs + 1, wanted + n
+                        hit += len(covered.get(j, set()) & set(range(at - n + 1, at + 1)))
+                length = now
+    assert runs > 100 and hit >= 0.97 * wanted
+
+
+def test_substring_chains_and_odd_rows(spark):
+    rng = random.Random(3)
+    fresh = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    first, second, phrase = fresh(120), fresh(70), fresh(120).split()
+    near = list(range(0, 120, 8)) + list(range(250, 320, 8))
+    assert [len(c) for c in substring.chains(near, near)] == [15, 9]
+    rows = [(1, f"{first} {fresh(130)} {second}"), (2, f"{first} {fresh(130)} {second}")]
+    rows += [(3, f"{second} {fresh(90)} {first}"), (4, f"{second} {fresh(90)} {first}")]
+    rows += [(None, first), (None, first), (5, None), (5, ""), (6, "x" * 200_000), (7, "a " * 30_000), (8, "a " * 30_000)]
+    rows += [(100 + i, " ".join([fresh(9), *phrase[i % 114 : i % 114 + 6], fresh(9)])) for i in range(500)]
+    rows += [(900, f"{fresh(20)} {' '.join(phrase)} {fresh(9)}"), (901, f"{fresh(7)} {' '.join(phrase)}")]
+    table = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, seed int, a int")
+    found = {(r.doc_id, r.start_word, r.n_words) for r in substring.repeated_passages(table).collect()}
+    assert {(2, 0, 120), (2, 250, 70), (4, 0, 70), (4, 160, 120), (901, 7, 120)} <= found
+    assert {d for d, _, _ in found} <= {2, 3, 4, 8, 901}
+
+
 def test_toxicity(spark, empty):
     folder = "/root/testdata/sf0.001"
     documents, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
