@@ -2,7 +2,7 @@
 
 Seeds are k-word runs, thinned to window minimisers (the least hash of each window), so that equal
 passages keep the same seeds. Each seed links its first document with all others that hold it, and so
-does each run of two or four shared seeds at equal distances: where common phrases scatter the seeds of a
+does each run of three neighbouring seeds at equal distances: where common phrases scatter the seeds of a
 passage over many first documents, its longer runs still lead to one that holds more of it. A popular
 passage costs a few links a document, never all pairs. The matches of a pair of documents are chained in
 order, with gap costs, by range maxima in a Fenwick tree; chains are then aligned word by word, between
@@ -28,8 +28,8 @@ from shelfmark.llm.minhash import mix, word_hashes
 #: 2 * WINDOW + SEED - 1 = 37 words share at least two seeds of it.
 SEED = 6
 WINDOW = 16
-#: Shared seeds of the runs that link documents besides single seeds.
-RUNS = (2, 4)
+#: Neighbouring seeds of the runs that link documents besides single seeds. A run spans about 23 words, 38 at most.
+RUN = 3
 #: A passage has at least MIN_WORDS words in both documents and this share of aligned words.
 MIN_WORDS = 50
 SIMILARITY = 0.75
@@ -77,8 +77,9 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(np.concatenate([h for h, _ in found]).view(np.int64)),
                 pa.array(np.repeat(np.array(keys, dtype=np.int64), sizes)),
                 pa.array(np.concatenate([at for _, at in found]).astype(np.int32)),
+                pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])),
             ],
-            names=["seed", "doc", "at"],
+            names=["seed", "doc", "at", "nth"],
         )
 
 
@@ -280,15 +281,13 @@ def _firsts(held: DataFrame, key: str) -> DataFrame:
 
 
 def _runs(shared: DataFrame) -> DataFrame:
-    """``(run, span, doc, at)``: hashes of neighbouring shared seeds and their distances, each no wider than a gap."""
-    after = Window.partitionBy("doc").orderBy("at")
-    for i in range(1, max(RUNS)):
+    """``(run, span, doc, at)``: hashes of ``RUN`` seeds and their distances, neighbours among all seeds of a document."""
+    after = Window.partitionBy("doc").orderBy("nth")
+    ahead = range(1, RUN)
+    for i in ahead:
         shared = shared.withColumn(f"s{i}", F.lead("seed", i).over(after)).withColumn(f"d{i}", F.lead("at", i).over(after) - F.col("at"))
-    one = lambda n: (
-        f"IF(d{n - 1} <= {(n - 1) * MAX_GAP}, struct(xxhash64({n}, seed, {', '.join(f's{i}, d{i}' for i in range(1, n))}) AS run, d{n - 1} AS span), NULL)"
-    )
-    listed = shared.selectExpr("doc", "at", f"explode(array({', '.join(one(n) for n in RUNS)})) AS r").where("r IS NOT NULL")
-    return listed.selectExpr("r.run", "r.span", "doc", "at")
+    shared = shared.withColumn("last", F.lead("nth", RUN - 1).over(after)).where(f"last = nth + {RUN - 1}")
+    return shared.selectExpr(f"xxhash64(seed, {', '.join(f's{i}, d{i}' for i in ahead)}) AS run", f"d{RUN - 1} AS span", "doc", "at")
 
 
 def repeated_passages(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -306,10 +305,10 @@ def repeated_passages(documents: DataFrame, key: str = "doc_id", text: str = "te
     """
     staging = Staging(documents.sparkSession)
     rows = documents.where(f"{key} IS NOT NULL AND length({text}) > 0").select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    seeds = staging.keep(rows.mapInArrow(_seeds, "seed long, doc long, at int"), "seeds")
+    seeds = staging.keep(rows.mapInArrow(_seeds, "seed long, doc long, at int, nth int"), "seeds")
     firsts = staging.keep(_firsts(seeds, "seed"), "firsts")
     shared = staging.keep(seeds.join(firsts, "seed"), "shared")
-    runs = staging.keep(_runs(shared.select("seed", "doc", "at")), "runs")
+    runs = staging.keep(_runs(shared.select("seed", "doc", "at", "nth")), "runs")
     ends = runs.join(staging.keep(_firsts(runs, "run"), "first-runs"), "run")
     ends = ends.selectExpr("doc", "a", "explode(array(0, span)) AS on", "at", "first_at").selectExpr("doc", "a", "at + on AS at", "first_at + on AS first_at")
     matches = shared.select("doc", "a", "at", "first_at").union(ends).where("doc != a")
