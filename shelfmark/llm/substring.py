@@ -212,19 +212,14 @@ def grow(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int]:
         i, j, same = i + run, j + run, same + run
         if run == n:
             break
-        bridge = next(
-            (
-                (d, e)
-                for total in range(1, 13)
-                for d in range(max(0, total - 6), min(6, total) + 1)
-                for e in [total - d]
-                if i + d + 3 <= len(x) and j + e + 3 <= len(y) and (x[i + d : i + d + 3] == y[j + e : j + e + 3]).all()
-            ),
-            None,
-        )
+        ahead, after = x[i : i + 9].tolist(), y[j : j + 9].tolist()
+        threes: dict[tuple, list[int]] = {}
+        for e in range(len(after) - 2):
+            threes.setdefault(tuple(after[e : e + 3]), []).append(e)
+        bridge = min(((d + e, d, e) for d in range(len(ahead) - 2) for e in threes.get(tuple(ahead[d : d + 3]), ())), default=None)
         if bridge is None:
             break
-        i, j = i + bridge[0], j + bridge[1]
+        i, j = i + bridge[1], j + bridge[2]
     return i, j, same
 
 
