@@ -141,6 +141,36 @@ def test_line_dedup_finds_lines_with_one_changed_word(spark):
         assert len(found) >= 0.9 * 150, (length, len(found))
 
 
+def test_line_dedup_finds_few_edits_wherever_they_are(spark):
+    """Pairs that are similar enough and differ in both halves, in length, in short lines, or on both sides of ``LONG``."""
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(4, 9)))
+    changed = lambda w: w[:-1] + rng.choice(letters.replace(w[-1], ""))
+    pairs = []
+    for n in (2, 3, 5, 7, 8, 9, 12, 25, 40, 70, 130):
+        for _ in range(25):
+            line = [word() for _ in range(n)]
+            two = list(line)
+            for at in rng.sample(range(n), 2):
+                two[at] = changed(two[at])
+            spread = [*line[: n // 3], changed(line[n // 3]), *line[n // 3 + 1 :]]
+            if n >= 12:
+                spread.insert(rng.randrange(n), "new")
+            pairs += [(line, two), (spread, line)]
+    for _ in range(25):  # 64 and 65 words
+        line = [word() for _ in range(line_dedup.LONG)]
+        pairs.append((line, [*line[:20], "one", *line[20:]]))
+    pairs = [(" ".join(x), " ".join(y)) for x, y in pairs]
+    by_word = lambda x, y: min(x.count(" "), y.count(" ")) >= line_dedup.LONG
+    pairs = [(x, y) for x, y in pairs if by_word(x, y) or edits(x, y) <= 0.1 * max(len(x), len(y))]
+    assert len(pairs) > 450
+    rows = [(2 * i + j, line) for i, pair in enumerate(pairs) for j, line in enumerate(pair)]
+    found = line_dedup.line_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    firsts = {r.doc_id: r.first_doc_id for r in found.collect()}
+    assert [pairs[i] for i in range(len(pairs)) if firsts[2 * i + 1] != firsts[2 * i]] == []
+
+
 def test_rows_that_share_a_key_lose_only_their_own(spark):
     line = "one line of ten plain words that stands in two"
     rows = [(1, line), (5, line), (5, "the only copy of this text of ten plain words"), (None, line), (None, line), (6, None), (6, "")]
