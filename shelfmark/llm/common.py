@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: A word, as every operator on words reads it: a run of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -20,8 +21,9 @@ SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 class Staging:
     """Intermediate tables of one run, as Parquet in the folder ``spark.checkpoint.dir`` names.
 
-    Written tables cut the lineage and outlive lost executors. The setting is never changed; where it is
-    absent, a session on one machine (tests) uses a temporary folder and any other raises an error.
+    Written tables cut the lineage and outlive lost executors. This setting is never changed; where it is
+    absent, a session on one machine (tests) uses a temporary folder and any other raises an error. Spark's
+    setting that deletes shuffle files is on while a table is written.
     All tables that are left are deleted when the driver's Python ends.
     """
 
@@ -36,9 +38,14 @@ class Staging:
         atexit.register(_delete, spark, self.folder)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return the stored table."""
-        path = f"{self.folder}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        """Write ``df`` and return the stored table; what the job shuffled is deleted as soon as it is written."""
+        path, conf = f"{self.folder}/{name}", self.spark.conf
+        before = conf.get(SHUFFLE_CLEANUP)
+        conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            conf.set(SHUFFLE_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:

@@ -10,8 +10,8 @@ where d are Good-Turing discounts for counts up to K (1 above) and alpha(v) make
 one exactly. The added 1 leaves every context some mass even if none of its counts is discounted.
 
 Texts are coded once as numbers of the words of their chunk. A chunk asks for the counts of its
-distinct words, so that a frequent word is one row a chunk; then its distinct pairs, with their documents, are
-sent to the partition of their context, where counts, seen pairs and backoff weights are at hand
+distinct words, so that a frequent word is one row a chunk, and is stored with the answers; then its distinct pairs, with
+their documents, are sent to the partition of their context, where counts, seen pairs and backoff weights are at hand
 and only sums for each document leave. Nothing of the corpus passes through the driver but the
 numbers of words and pairs that occur once, twice, ... .
 """
@@ -40,7 +40,7 @@ CHUNK_TOKENS = 1_000_000
 CHUNK_DOCS = 2_000
 #: Bytes of text for each partition of the word and the pair tables.
 WORD_BYTES = 16_000_000
-PAIR_BYTES = 13_000_000
+PAIR_BYTES = 9_000_000
 #: Contexts that occur more often are split by their next word.
 HOT = 500_000
 
@@ -147,13 +147,13 @@ def _coder(parts: int):
 
 
 def _count_words(group: pd.DataFrame) -> pd.DataFrame:
-    """Global counts for all chunks' words of one partition, in each chunk's order; the chunk has the words."""
+    """Global counts and numbers for all chunks' words of one partition, in each chunk's order; the chunk has the words."""
     asked = [unpack(p) for p in group["payload"]]
     words, where = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
     total = np.bincount(where, weights=np.concatenate([a[1] for a in asked]), minlength=len(words)).astype(np.int64)
     ends = np.cumsum([len(a[0]) for a in asked])
     rows = [
-        (c, p, pack(_fitting(total[where[e - len(a[0]) : e]])), None)
+        (c, p, pack(_fitting(total[where[e - len(a[0]) : e]]), _fitting(where[e - len(a[0]) : e])), None)
         for c, p, a, e in zip(group["chunk"], group["part"], asked, ends, strict=True)
     ]
     seen = total[total > 0]
@@ -162,20 +162,41 @@ def _count_words(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["chunk", "part", "payload", "stats"])
 
 
-def _pair_rows(parts: int, distinct: int, tokens: int, documents: int):
-    """Rows of one chunk: figures of its documents, and their distinct pairs for each partition."""
+_ANSWERED = "chunk long, payload binary, ids array<long>, words binary"
+
+
+def _answered(word_parts: int):
+    """One row for a chunk: its texts, and its words with their counts and the numbers that tell all words apart."""
 
     def run(key: tuple, coded: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        chunk = key[0]
         coded = coded.sort_values("part")  # the texts, then the words of each partition
-        text, lengths, held = unpack(coded["payload"].iloc[0])
         words = np.concatenate([unpack(p)[0] for p in coded["payload"].iloc[1:]])
-        counts = np.concatenate([unpack(p)[0] for p in answers.sort_values("part")["payload"]]).astype(np.int64)
+        found = [unpack(p) for p in answers.sort_values("part")["payload"]]
+        counts = np.concatenate([f[0] for f in found])
+        numbers = np.concatenate([f[1] for f in found]).astype(np.uint64) * np.uint64(word_parts) + words % np.uint64(word_parts)
+        row = (key[0], coded["payload"].iloc[0], coded["ids"].iloc[0], pack(words, _fitting(counts), _fitting(numbers)))
+        return pd.DataFrame([row], columns=["chunk", "payload", "ids", "words"])
+
+    return run
+
+
+def _pair_rows(parts: int, distinct: int, tokens: int, documents: int):
+    """Rows of each chunk: figures of its documents, and their distinct pairs for each partition."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                yield told(row.chunk, row.payload, row.ids, row.words)
+
+    def told(chunk: int, payload: bytes, ids: np.ndarray, answered: bytes) -> pd.DataFrame:
+        text, lengths, held = unpack(payload)
+        words, counts, numbers = unpack(answered)
+        counts = counts.astype(np.int64)
         starts = np.cumsum(lengths) - lengths
         c = counts[text]
         base = np.add.reduceat(np.log10((c + 0.1) / (tokens + 0.1 * (distinct + 1))), starts)
         known = np.add.reduceat((c > 0).astype(np.int64), starts)
-        rows = [("base", chunk, chunk % parts, pack(lengths.astype(np.int64), known, base, held), coded["ids"].iloc[0])]
+        rows = [("base", chunk, chunk % parts, pack(lengths.astype(np.int64), known, base, held), ids)]
 
         before = np.concatenate([[0], text[:-1]]).astype(np.int64)
         before[starts] = len(words)  # the start of a text, as often as there are training texts
@@ -184,22 +205,24 @@ def _pair_rows(parts: int, distinct: int, tokens: int, documents: int):
         doc = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths)
         pairs, times = np.unique((doc << (2 * bits)) | (before << bits) | text, return_counts=True)
         doc, before, after = pairs >> (2 * bits), (pairs >> bits) & ((1 << bits) - 1), pairs & ((1 << bits) - 1)
-        tag = mix(words[before] * _FACTOR + words[after]) >> np.uint64(24)
         slices = (counts[before] // HOT + 1).astype(np.uint64)
-        part = (mix(words[before] + _FACTOR * (tag % slices)) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((doc, tag, before, part))
-        doc, before, after, tag, times, part = (x[order] for x in (doc, before, after, tag, times, part))
+        part = (mix(words[before] + _FACTOR * (mix(words[after]) % slices)) % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((doc, after, before, part))
+        doc, before, after, times, part = (x[order] for x in (doc, before, after, times, part))
         bounds = [*np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist(), len(part)]
         for a, b in zip(bounds, bounds[1:], strict=False):
             # A distinct pair is told once a chunk, with the documents that have it; likewise its context.
             new_context = np.concatenate([[True], before[a + 1 : b] != before[a : b - 1]])
-            new_pair = new_context | np.concatenate([[True], tag[a + 1 : b] != tag[a : b - 1]])
+            new_pair = new_context | np.concatenate([[True], after[a + 1 : b] != after[a : b - 1]])
             at = np.flatnonzero(new_pair)
             contexts = np.flatnonzero(new_context[at])
             context = before[a:b][at][contexts]
+            # The next words stand once for the partition, in the order of their numbers.
+            number, first, which = np.unique(numbers[after[a:b][at]], return_index=True, return_inverse=True)
             payload = pack(
-                words[context], _fitting(counts[context]), _fitting(np.diff(np.append(contexts, len(at)))), _narrow(tag[a:b][at]),
-                _fitting(doc[a:b]), _fitting(counts[after[a:b][at]]), _fitting(times[a:b]), held, _fitting(np.diff(np.append(at, b - a))),
+                words[context], _fitting(counts[context]), _fitting(np.diff(np.append(contexts, len(at)))), _fitting(which),
+                _fitting(doc[a:b]), _fitting(counts[after[a:b][at][first]]), _fitting(times[a:b]), held, _fitting(np.diff(np.append(at, b - a))),
+                _fitting(np.diff(number.astype(np.int64), prepend=0)),
             )
             rows.append(("pairs", chunk, int(part[a]), payload, None))
         return pd.DataFrame(rows, columns=["kind", "chunk", "part", "payload", "ids"])
@@ -212,17 +235,6 @@ def _fitting(numbers: np.ndarray) -> np.ndarray:
     return numbers.astype(np.min_scalar_type(int(numbers.max(initial=0))))
 
 
-def _narrow(tags: np.ndarray) -> np.ndarray:
-    """40-bit numbers as bytes, plane after plane."""
-    return np.ascontiguousarray(tags).view(np.uint8).reshape(-1, 8)[:, :5].T.reshape(-1)
-
-
-def _wide(planes: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(planes) // 5, 8), dtype=np.uint8)
-    out[:, :5] = planes.reshape(5, -1).T
-    return out.view(np.uint64).reshape(-1)
-
-
 _CONTEXT = ["context", "occurs", "undiscounted", "covered", *[f"n{r}" for r in range(1, K + 1)]]
 _SUMS = (
     "kind string, chunk long, payload binary, ids array<long>, stats array<long>, context array<long>, doc array<int>, times array<int>, "
@@ -243,7 +255,8 @@ def _score_pairs(tokens: int, occurring: list[int]):
             occurs[which] = np.concatenate([b[1] for b in blobs])
             repeats = np.concatenate([b[8] for b in blobs]).astype(np.int64)  # documents of each chunk's distinct pairs
             ctx = np.repeat(which, np.concatenate([b[2] for b in blobs])).astype(np.uint64)
-            key = np.repeat((ctx << np.uint64(40)) | np.concatenate([_wide(b[3]) for b in blobs]), repeats)
+            numbers = np.concatenate([np.cumsum(b[9].astype(np.uint64), dtype=np.uint64)[b[3]] for b in blobs])
+            key = np.repeat((ctx << np.uint64(40)) | numbers, repeats)
             ctx = np.repeat(ctx, repeats)
             sizes = [len(b[4]) for b in blobs]
             times = np.concatenate([b[6] for b in blobs]).astype(np.int64)
@@ -253,7 +266,7 @@ def _score_pairs(tokens: int, occurring: list[int]):
             r = np.add.reduceat(np.where(training, times, 0)[order], first)
             of = np.empty(len(key), dtype=np.int64)
             of[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
-            next_count = np.repeat(np.concatenate([b[5] for b in blobs]).astype(np.int64), repeats)
+            next_count = np.repeat(np.concatenate([b[5].astype(np.int64)[b[3]] for b in blobs]), repeats)
             p1 = unigram(next_count, tokens, occurring)
             type_ctx, type_p1, seen = ctx[order][first].astype(np.int64), p1[order][first], r > 0
             rows.append({"kind": "stats", "stats": [int((r == i).sum()) for i in range(1, K + 2)]})
@@ -320,8 +333,7 @@ def score_texts(documents: DataFrame, held_out: str, key: str = "doc_id", text:
 
     ``held_out`` is SQL for the rows that do not train (they are scored like all others). Tokens are
     the words (A-Z lower-cased) and one end; ``base_score`` is the additive baseline, ``score`` the
-    model's log10 probability of the tokens. Words and contexts are told apart by 64-bit hashes, the
-    pairs of a context by 40 bits.
+    model's log10 probability of the tokens. Words are told apart by 64-bit hashes.
 
     NULL and empty texts are an end only. Rows without a key are scored and train; repeated rows
     count as often as they occur. Without training rows all words are unknown. An empty table gives
@@ -340,11 +352,15 @@ def score_texts(documents: DataFrame, held_out: str, key: str = "doc_id", text:
     training = coded.where("part = -1").selectExpr("payload", "size(ids) AS n")
     training = training.select(_training("payload").alias("n")).selectExpr("coalesce(sum(n), 0)").first()[0]
     answers = counted.where("chunk >= 0").select("chunk", "part", "payload")
-    pairs = coded.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    pairs = pairs.applyInPandas(
+    answered = coded.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_answered(word_parts), _ANSWERED)
+    answered = staging.keep(answered, "answered")
+    staging.drop("coded")
+    staging.drop("words")
+    pairs = answered.mapInPandas(
         _pair_rows(pair_parts, distinct, tokens, training), "kind string, chunk long, part int, payload binary, ids array<long>"
     )
     sums = staging.keep(pairs.groupBy("part").applyInPandas(_score_pairs(tokens, occurring), _SUMS), "sums")
+    staging.drop("answered")
     d = discounts(_total(sums.where("kind = 'stats'"), K + 1))
     contexts = sums.where("kind = 'contexts'").select(F.explode(F.arrays_zip(*_CONTEXT)).alias("z")).select("z.*")
     contexts = contexts.groupBy("context").agg(F.max("occurs").alias("occurs"), *[F.sum(c).alias(c) for c in _CONTEXT[2:]])

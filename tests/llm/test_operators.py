@@ -13,10 +13,12 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from shelfmark.llm import ann, bpe, fingerprint, katz, line_dedup, minhash, mixing, queries, sharding, substring, toxicity
+from shelfmark.llm.common import SHUFFLE_CLEANUP, Staging
 
 SCHEMA = "doc_id long, text string, source string, id string, bucket int, component long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -371,6 +373,21 @@ def test_katz(docs, empty):
     assert katz.score_texts(empty, queries.held_out(10, 0)).collect() == []
 
 
+def test_stored_tables_leave_no_shuffle_files(spark):
+    """What a job shuffled is deleted when its result is stored, and katz keeps only what is read later."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: set(re.findall(r"shuffle_\w+", manager.getAllFiles().mkString(" ")))
+    staging, setting = Staging(spark), spark.conf.get(SHUFFLE_CLEANUP)
+    before = files()
+    counts = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    assert staging.keep(counts.repartition(3, "count"), "counts").count() == 10
+    assert not [f for f in files() - before if f.endswith("data")] and spark.conf.get(SHUFFLE_CLEANUP) == setting
+    scored = katz.score_texts(spark.createDataFrame([(1, "a b a"), (2, "a b")], "doc_id long, text string"), "doc_id = 2")
+    assert scored.count() == 2
+    folders = {p.split("/")[-2] for p in scored.inputFiles()}
+    assert "sums" in folders and not folders & {"coded", "words", "answered"}
+
+
 def test_bpe(docs, empty):
     path = public_tokenizers.path(queries.VOCABULARY)
     known = Tokenizer.from_file(path)
