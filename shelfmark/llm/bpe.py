@@ -19,6 +19,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -234,6 +235,7 @@ class WordBpe:
 
 
 _loaded: dict[str, WordBpe] = {}
+_names: dict[str, pa.Array] = {}
 
 
 def encoder(path: str) -> WordBpe:
@@ -243,6 +245,18 @@ def encoder(path: str) -> WordBpe:
     return _loaded[path]
 
 
+def token_names(path: str) -> pa.Array:
+    """The tokens of a file by their ids, once for each Python process; all that decoding needs."""
+    if path not in _names:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        tokens = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        _names[path] = pa.array([tokens.get(i) for i in range(max(tokens) + 1)], type=pa.string())
+    return _names[path]
+
+
+#: Rows decoded at once.
+DECODED_ROWS = 256
 #: Characters encoded at once at most, but for a single longer text; bounds a task's memory.
 BATCH_CHARS = 1_000_000
 
@@ -260,14 +274,15 @@ def encode_texts(documents: DataFrame, path: str, key: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         for batch in batches:
-            keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
+            keys, texts = batch.column(0), batch.column(1)
+            lengths = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
             start = 0
-            while start < len(texts):
+            while start < len(lengths):
                 stop, chars = start, 0
-                while stop < len(texts) and (stop == start or chars + len(texts[stop]) <= BATCH_CHARS):
-                    chars += len(texts[stop])
+                while stop < len(lengths) and (stop == start or chars + lengths[stop] <= BATCH_CHARS):
+                    chars += lengths[stop]
                     stop += 1
-                ids = bpe.encode(texts[start:stop])
+                ids = bpe.encode([t or "" for t in texts.slice(start, stop - start).to_pylist()])
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 flat = pa.array(np.concatenate(ids), type=pa.int32())
                 lists = pa.ListArray.from_arrays(pa.array(ends), flat)
@@ -280,10 +295,16 @@ def encode_texts(documents: DataFrame, path: str, key: str = "doc_id", text: str
 def decode_ids(ids: str | Column, path: str) -> Column:
     """The text of a column of ids; NULL for NULL."""
 
-    @F.pandas_udf("string")
-    def decoded(column: pd.Series) -> pd.Series:
-        bpe = encoder(path)
-        return column.map(lambda x: None if x is None else bpe.decode(x.tolist()))
+    @F.arrow_udf("string")
+    def decoded(column: pa.Array) -> pa.Array:
+        names = token_names(path)
+        out = []
+        for start in range(0, len(column), DECODED_ROWS):  # a few at a time, so that their tokens take little room
+            some = column.slice(start, DECODED_ROWS)
+            offsets = np.cumsum([0, *pc.fill_null(pc.list_value_length(some), 0).to_pylist()]).astype(np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array(offsets), names.take(some.flatten()), mask=some.is_null())
+            out.append(pc.binary_join(tokens, " "))
+        return pa.concat_arrays(out) if out else pa.array([], type=pa.string())
 
     return decoded(ids)
 

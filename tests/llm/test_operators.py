@@ -535,6 +535,18 @@ def test_queries_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
+def test_decoding_needs_only_the_names_of_tokens(spark, monkeypatch):
+    """More rows than are decoded at once, with NULL and empty ones; without the tables of an encoder."""
+    path = public_tokenizers.path(queries.VOCABULARY)
+    names = {i: t for t, i in Tokenizer.from_file(path).get_vocab().items()}
+    rng = random.Random(3)
+    rows = [None, []] + [[rng.randrange(len(names)) for _ in range(rng.randrange(9))] for _ in range(3 * bpe.DECODED_ROWS)]
+    monkeypatch.setattr(bpe, "encoder", None)
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "id int, ids array<int>").coalesce(1)
+    got = {r.id: r.text for r in df.select("id", bpe.decode_ids("ids", path).alias("text")).collect()}
+    assert got == {i: None if r is None else " ".join(names[x] for x in r) for i, r in enumerate(rows)}
+
+
 def test_bpe_of_control_characters():
     """U+001C to U+001F are signs, not white space, as in the library."""
     path = public_tokenizers.path(queries.VOCABULARY)
