@@ -173,6 +173,14 @@ def test_line_dedup_finds_few_edits_wherever_they_are(spark):
     assert [pairs[i] for i in range(len(pairs)) if firsts[2 * i + 1] != firsts[2 * i]] == []
 
 
+def test_pipeline_drops_lines_edited_in_both_halves(spark):
+    line = "an early line of eleven words that ends in the same harbour"
+    rows = [(1, line), (2, f"kept as it is\n{line.replace('early', 'earlx').replace('harbour', 'harbous')}"), (3, "page one"), (4, "an0ther line\nanother line")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, df, "").collect()}
+    assert kept == {1: line, 2: "kept as it is", 3: "page one", 4: "an0ther line"}
+
+
 def test_rows_that_share_a_key_lose_only_their_own(spark):
     line = "one line of ten plain words that stands in two"
     rows = [(1, line), (5, line), (5, "the only copy of this text of ten plain words"), (None, line), (None, line), (6, None), (6, "")]
