@@ -25,8 +25,6 @@ SHINGLE = 5
 PLACES = 128
 BANDS = 32
 ROWS = PLACES // BANDS
-#: Bands that are compared first; sets at a similarity of 0.9 share one of them with probability 0.98.
-FIRST_BANDS = 4
 #: Links: 100 * intersection >= LINK * union.
 LINK = 75
 #: Two bits of every place prune pairs before the exact check. A pair at the link threshold has 24 of
@@ -298,7 +296,7 @@ def _row_duplicates(documents: DataFrame, staging: Staging) -> DataFrame:
         )
         return met.groupBy("cluster", "i", "j").applyInPandas(_compare, "a long, b long")
 
-    components = bucket_components(firsts.selectExpr("id", "bands AS buckets"), accept, finish, staging, FIRST_BANDS)
+    components = bucket_components(firsts.selectExpr("id", "bands AS buckets"), accept, finish, staging)
     reached = classes.join(components, "id", "left").selectExpr("c0", "c1", "coalesce(component, id) AS component_id")
     out = signed.join(reached, ["c0", "c1"], "left").selectExpr(
         "doc_id", "n_shingles", "CASE WHEN doc_id IS NULL THEN NULL WHEN n_shingles = 0 THEN doc_id ELSE component_id END AS component_id"

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -173,6 +174,55 @@ def test_line_dedup_finds_few_edits_wherever_they_are(spark):
     assert [pairs[i] for i in range(len(pairs)) if firsts[2 * i + 1] != firsts[2 * i]] == []
 
 
+def test_line_dedup_finds_a_tenth_of_the_words_and_all_similar_lines_of_few_letters(spark):
+    """Edits spread over the whole line, pairs that are similar enough by letters or, over ``LONG`` words, by words."""
+    rng = random.Random(23)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda low=4, high=9: "".join(rng.choice(letters) for _ in range(rng.randint(low, high)))
+    changed = lambda w: w[:-1] + rng.choice(letters.replace(w[-1], ""))
+    pairs = []
+    for n in (30, 40, 64, 65, 100, 300):
+        for _ in range(10):
+            line = [word() for _ in range(n)]
+            other = list(line)
+            for k in range(n // 10):
+                at = min(n - 1, k * n // (n // 10) + rng.randrange(10))
+                other[at] = word() if n > line_dedup.LONG else changed(other[at])
+            pairs.append((" ".join(line), " ".join(other)))
+    for n in (8, 10, 12):
+        for _ in range(15):
+            line = [word(3, 5) for _ in range(n)]
+            other = list(line)
+            for at in rng.sample(range(n), len(" ".join(line)) // 10):
+                other[at] = changed(other[at])
+            pairs.append((" ".join(line), " ".join(other)))
+    pairs = [p for p in pairs if p[0].count(" ") >= 20 or len(p[0]) <= line_dedup.LETTERS]
+    assert len(pairs) > 95
+    rows = [(2 * i + j, line) for i, pair in enumerate(pairs) for j, line in enumerate(pair)]
+    found = line_dedup.line_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    firsts = {r.doc_id: r.first_doc_id for r in found.collect()}
+    assert [len(pairs[i][0].split()) for i in range(len(pairs)) if firsts[2 * i + 1] != firsts[2 * i]] == []
+
+
+def test_line_dedup_compares_only_lines_of_like_length(spark, monkeypatch):
+    """Lines of one word repeated share a SimHash: a link needs lengths within a tenth, others are never paired."""
+    made, keep = {}, line_dedup.Staging.keep
+    monkeypatch.setattr(line_dedup.Staging, "keep", lambda self, df, name: made.setdefault(name, keep(self, df, name).cache()))
+    lengths = [8 * 5**i for i in range(4)] + [8 * 5**i + k * 5**i for i in range(4) for k in (2, 4)]
+    lines = [" ".join(["one two"] * n) for n in lengths]
+    found = line_dedup.line_groups(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    assert {(r.doc_id, r.first_doc_id) for r in found.collect()} == {(i, i) for i in range(len(lines))}
+    assert "likely-rest" not in made or made["likely-rest"].count() == 0
+
+
+def test_line_dedup_leaves_only_its_result_on_disk(spark, monkeypatch):
+    cleared, clear = [], line_dedup.Staging.clear
+    monkeypatch.setattr(line_dedup.Staging, "clear", lambda self: (cleared.append(self.folder), clear(self)))
+    found = line_dedup.line_groups(spark.createDataFrame([(1, "a line of words"), (2, "a line of wordz")], "doc_id long, text string"))
+    assert len(cleared) == 1 and not os.path.exists(cleared[0].removeprefix("file:"))
+    assert found.where("kept").count() == 1
+
+
 def test_pipeline_drops_lines_edited_in_both_halves(spark):
     line = "an early line of eleven words that ends in the same harbour"
     rows = [(1, line), (2, f"kept as it is\n{line.replace('early', 'earlx').replace('harbour', 'harbous')}"), (3, "page one"), (4, "an0ther line\nanother line")]
