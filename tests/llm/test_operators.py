@@ -216,6 +216,45 @@ def test_line_dedup_compares_only_lines_of_like_length(spark, monkeypatch):
     assert "likely-rest" not in made or made["likely-rest"].count() == 0
 
 
+def test_line_dedup_pairs_few_lines_that_share_a_passage_and_stores_buckets_no_longer_than_needed(spark, monkeypatch):
+    """Lines of like length that share a passage are compared only if their letters, or words, are nearly the same ones."""
+    rng, made, dropped = random.Random(7), {}, []
+    keep, drop = line_dedup.Staging.keep, line_dedup.Staging.drop
+    monkeypatch.setattr(line_dedup.Staging, "keep", lambda self, df, name: made.setdefault(name, keep(self, df, name).cache()))
+    monkeypatch.setattr(line_dedup.Staging, "drop", lambda self, name: (dropped.append((name, set(made))), drop(self, name)))
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5))
+    lines = []
+    for n in (30, 100):
+        passage = [word() for _ in range(n // 3)]
+        lines += [passage + [word() for _ in range(n - n // 3)] for _ in range(30)]
+        lines.append([*lines[-1][:-1], word()])
+    found = line_dedup.line_groups(spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string"))
+    firsts = {r.doc_id: r.first_doc_id for r in found.collect()}
+    assert {i: first for i, first in firsts.items() if i != first} == {30: 29, 61: 60}
+    assert "likely-rest" not in made or made["likely-rest"].count() <= 31
+    assert [before for name, before in dropped if name == "keyed" and not any(x.startswith("likely") for x in before)]
+
+
+def test_marks_differ_by_twice_the_edits_at_most(spark):
+    rng = random.Random(8)
+    rows = []
+    for n, alphabet in ((40, "ab e"), (300, "abcxyz ."), (900, "ae"), (80, "жаé a漢")):
+        x = "".join(rng.choices(alphabet, k=n))
+        y = list(x)
+        for _ in range(9):
+            at = rng.randrange(len(y))
+            y[at : at + rng.randrange(2)] = rng.choices(alphabet + "q", k=rng.randrange(2))
+        rows.append((x, "".join(y)))
+    words = lambda c: f"split({c}, '')"
+    df = spark.createDataFrame(rows, "x string, y string").selectExpr(
+        "levenshtein(x, y) AS edits",
+        *[f"{line_dedup.letter_marks(c)} AS l{c}" for c in "xy"],
+        *[f"{line_dedup.word_marks(words(c))} AS w{c}" for c in "xy"],
+    )
+    for r in df.selectExpr("edits", f"{line_dedup.marks_apart('lx', 'ly')} AS letters", f"{line_dedup.marks_apart('wx', 'wy')} AS words").collect():
+        assert 0 <= r.letters <= 2 * r.edits and 0 < r.words <= 2 * r.edits
+
+
 def test_line_dedup_leaves_only_its_result_on_disk(spark, monkeypatch):
     cleared, clear = [], line_dedup.Staging.clear
     monkeypatch.setattr(line_dedup.Staging, "clear", lambda self: (cleared.append(self.folder), clear(self)))
