@@ -10,9 +10,11 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,8 @@ LEAST_ODDS = 1.5
 FULL_ODDS = 4.0
 #: Lengths of word beginnings that may become terms.
 STEMS = (5, 6)
+#: Texts whose features a Python worker holds at once.
+TAUGHT_ROWS = 64
 #: Words added to every length, so that a very short text needs more than its first match.
 PRIOR_WORDS = 8
 #: The score at which a text counts as toxic.
@@ -114,6 +118,17 @@ def features(text: str) -> set[str]:
     return {f"{w} " for w in words if len(w) > 1} | {w[:n] for n in STEMS for w in words if len(w) > n}
 
 
+def _taught(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(term, toxic)`` for each feature of each text, of a few texts at once: a worker's memory outlasts its task."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TAUGHT_ROWS):
+            part = batch.slice(at, TAUGHT_ROWS)
+            rows = [(term, toxic) for t, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) for term in features(t)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], type=pa.string()), pa.array([r[1] for r in rows], type=pa.int32())], names=["term", "toxic"]
+            )
+
+
 def learn(
     documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, key: str = "doc_id", text: str = "text"
 ) -> Lexicon:
@@ -137,11 +152,7 @@ def learn(
     if not all_toxic or all_toxic == all_n:
         return Lexicon(seeds)
 
-    @F.pandas_udf("array<string>")
-    def taught(t: pd.Series) -> pd.Series:
-        return t.map(lambda x: sorted(features(x)))
-
-    counts = texts.select(F.explode(taught("t")).alias("term"), "toxic").groupBy("term").agg(
+    counts = texts.mapInArrow(_taught, "term string, toxic int").groupBy("term").agg(
         F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("y")
     )
     # Log-likelihood ratio of a term's share among toxic texts against its share among all.

@@ -12,6 +12,7 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -235,6 +236,31 @@ def test_line_dedup_pairs_few_lines_that_share_a_passage_and_stores_buckets_no_l
     assert [before for name, before in dropped if name == "keyed" and not any(x.startswith("likely") for x in before)]
 
 
+def test_line_dedup_keeps_one_bucket_of_those_with_the_same_lines(spark, monkeypatch):
+    """Lines that share a passage share many buckets; a pair is made in one of them, also where sets overlap."""
+    rows = [(bucket, i) for bucket, ids in ((3, (1, 2, 5)), (4, (1, 2, 5)), (6, (1, 2, 5)), (8, (1, 3, 5)), (9, (1, 5)), (10, (1, 5)), (11, (2, 1, 5, 7))) for i in ids]
+    mates = spark.createDataFrame(rows, "bucket long, id long").withColumn("hub", F.lit(1))
+    kept = line_dedup.distinct_buckets(mates, "bucket & 1L = 0").collect()
+    assert sorted((r.bucket, r.id) for r in kept) == [r for r in sorted(rows) if r[0] not in (4, 6, 10)]
+    rng, made, keep = random.Random(5), {}, line_dedup.Staging.keep
+    monkeypatch.setattr(line_dedup.Staging, "keep", lambda self, df, name: made.setdefault(name, keep(self, df, name).cache()))
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    line = [word() for _ in range(60)]
+    lines = [" ".join([*line[:29], word(), *line[30:]]) for _ in range(40)]
+    found = line_dedup.line_groups(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    assert {r.first_doc_id for r in found.collect()} == {0}
+    assert made["mates"].select("bucket").distinct().count() < sum(made[f"buckets-{i}"].count() for i in range(line_dedup.SLICES)) / 2
+
+
+def test_toxicity_learns_from_a_few_texts_at_once():
+    words = [f"word{i}" for i in range(40)]
+    batch = pa.RecordBatch.from_pydict({"t": [" ".join(words)] * 150, "toxic": pa.array([1, 0, 1] * 50, type=pa.int32())})
+    parts = list(toxicity._taught(iter([batch])))
+    assert max(p.num_rows for p in parts) <= toxicity.TAUGHT_ROWS * len(toxicity.features(" ".join(words)))
+    counts = Counter((t, y) for p in parts for t, y in zip(*p.to_pydict().values(), strict=True))
+    assert counts == Counter({(t, y): 100 if y else 50 for t in toxicity.features(" ".join(words)) for y in (0, 1)})
+
+
 def test_marks_differ_by_twice_the_edits_at_most(spark):
     rng = random.Random(8)
     rows = []
