@@ -252,6 +252,24 @@ def test_line_dedup_keeps_one_bucket_of_those_with_the_same_lines(spark, monkeyp
     assert made["mates"].select("bucket").distinct().count() < sum(made[f"buckets-{i}"].count() for i in range(line_dedup.SLICES)) / 2
 
 
+def test_line_dedup_compares_few_lines_of_one_origin_that_were_edited_in_many_places(spark, monkeypatch):
+    """Lines that are too far from one another are told by their rarest words, and long ones by all their words."""
+    rng, made, keep = random.Random(11), {}, line_dedup.Staging.keep
+    monkeypatch.setattr(line_dedup.Staging, "keep", lambda self, df, name: made.setdefault(name, keep(self, df, name).cache()))
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5))
+    edited = lambda line, edits: [word() if i in edits else w for i, w in enumerate(line)]
+    lines, copies = [], {}
+    for n in (40, 100):
+        origin = [word() for _ in range(n)]
+        some = [edited(origin, rng.sample(range(n), 9)) for _ in range(60)]
+        copies |= {len(lines) + 60 + i: len(lines) + i for i in range(20)}
+        lines += some + [edited(x, rng.sample(range(n), 2)) for x in some[:20]]
+    found = line_dedup.line_groups(spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string"))
+    firsts = {r.doc_id: r.first_doc_id for r in found.collect()}
+    assert all(firsts[i] == firsts[of] for i, of in copies.items())
+    assert "likely-rest" not in made or made["likely-rest"].count() < 40
+
+
 def test_toxicity_learns_from_a_few_texts_at_once():
     words = [f"word{i}" for i in range(40)]
     batch = pa.RecordBatch.from_pydict({"t": [" ".join(words)] * 150, "toxic": pa.array([1, 0, 1] * 50, type=pa.int32())})
